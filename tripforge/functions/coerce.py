@@ -57,4 +57,4 @@ def missing(df: DataFrame, column: str) -> Column:
 def finite_or_null(column: str) -> Column:
     """NULL in place of NaN and of both infinities."""
     value = F.col(column).cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return F.when(F.abs(value) < float("inf"), value)  # NaN sorts above infinity

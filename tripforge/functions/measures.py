@@ -9,13 +9,18 @@ EARTH_RADIUS_KM = 6371.0
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance. Rounding can push the haversine past 1, so it is clamped."""
+    """Great-circle distance; NULL where a coordinate is missing.
+
+    Rounding can push the haversine out of [0, 1], so it is clamped. It occurs
+    once in the expression, so it is worked out once a row.
+    """
     lat_from, lat_to = F.radians(lat1), F.radians(lat2)
     half_lat = F.sin((lat_to - lat_from) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    raw = half_lat * half_lat + F.cos(lat_from) * F.cos(lat_to) * half_lon * half_lon
-    h = F.when(raw > 1.0, 1.0).when(raw < 0.0, 0.0).otherwise(raw)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(h), F.sqrt(1.0 - h))
+    raw = F.pow(half_lat, 2.0) + F.cos(lat_from) * F.cos(lat_to) * F.pow(half_lon, 2.0)
+    clamped = F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))
+    known = (lat1 + lon1 + lat2 + lon2).isNotNull()
+    return F.when(known, F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(clamped)))
 
 
 def trip_distance_km() -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripforge.functions import sqltext as sql
 from tripforge.functions.coerce import finite_or_null
 from tripforge.operators.quantiles import quantile_values
 from tripforge.schema import DRIFT_FEATURES
@@ -30,27 +31,20 @@ def _bin_edges(reference: DataFrame, features: Sequence[str], bins: int) -> dict
     return {f: sorted({e for e in edges if e is not None}) for f, edges in quantile_values(finite, features, probs).items()}
 
 
-def _bin_of(value: Column, edges: list[float]) -> Column:
+def _bin_of(value: str, edges: list[float]) -> str:
     """Bins are closed on the left; the outer two are open-ended."""
-    place = F.lit(0)
-    for edge in edges[1:-1]:
-        place = place + (value >= F.lit(edge)).cast("int")
-    return place
-
-
-def _shares(df: DataFrame, edges: dict[str, list[float]], name: str) -> DataFrame:
-    """Rows and their mean per feature and bin, from one pass that combines on the map side."""
-    pairs = []
-    for feature, cuts in edges.items():
-        value = finite_or_null(feature)
-        pairs.append(
-            F.struct(
-                F.lit(feature).alias("feature"),
-                F.when(value.isNotNull(), _bin_of(value, cuts)).alias("bin"),
-            )
-        )
-    tall = df.select(F.inline(F.array(*pairs))).filter(F.col("bin").isNotNull())
-    return tall.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
+    return " + ".join(["0", *[f"CAST({value} >= {sql.double(edge)} AS INT)" for edge in edges[1:-1]]])
+
+
+def _shares(df: DataFrame, edges: dict[str, list[float]], count: str) -> DataFrame:
+    """Rows per feature and bin, from one pass that combines on the map side."""
+    finite = df.select(*[finite_or_null(f).alias(f"_v{i}") for i, f in enumerate(edges)])
+    pairs = [
+        {"feature": sql.text(f), "bin": f"CASE WHEN _v{i} IS NOT NULL THEN {_bin_of(f'_v{i}', cuts)} END"}
+        for i, (f, cuts) in enumerate(edges.items())
+    ]
+    tall = finite.selectExpr(sql.rows(pairs)).filter("bin IS NOT NULL")
+    return tall.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(count))
 
 
 def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = BINS) -> DataFrame:
@@ -91,10 +85,9 @@ def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins:
     return names.join(scored, "feature", "left").na.fill(0.0, ["psi"])
 
 
-def _means(df: DataFrame, features: Sequence[str], name: str) -> DataFrame:
-    wide = df.agg(*[F.avg(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double"))).alias(f) for f in features])
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f).alias(name)) for f in features]
-    return wide.select(F.inline(F.array(*rows)))
+def _means(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    wide = df.agg(*[F.expr(f"avg({sql.plain_number(df, f)}) AS m{i}") for i, f in enumerate(features)])
+    return wide.selectExpr(sql.rows([{"feature": sql.text(f), label: f"m{i}"} for i, f in enumerate(features)]))
 
 
 def drift_metrics(

@@ -106,8 +106,10 @@ def target_column(df: DataFrame, names: Sequence[str] = TARGET_NAMES) -> str | N
 
 
 def finite_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows in which every listed column holds a finite number."""
+    """Rows in which every listed column holds a finite number.
+
+    The one comparison also rejects NULL, and NaN, which sorts above infinity.
+    """
     for column in columns:
-        value = F.col(column)
-        df = df.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
+        df = df.filter(F.abs(column) < float("inf"))
     return df

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripforge.functions import sqltext as sql
 from tripforge.functions.calendar import rush_hour, weekday_name
 from tripforge.functions.coerce import coerced, missing
-from tripforge.functions.measures import minutes, rounded_even
+from tripforge.functions.measures import minutes
 from tripforge.operators.enrich import with_distance
 from tripforge.operators.outliers import in_city, within_upper_percentile
-from tripforge.operators.quantiles import plain_number, quantile_values, quantiles
+from tripforge.operators.quantiles import quantile_values, quantiles
 from tripforge.schema import CORRELATION_COLUMNS, GPS_COLUMNS
 
 
@@ -38,28 +39,25 @@ def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def _one_row_per_column(wide: DataFrame, columns: Sequence[str], fields: dict[str, dict[str, Column]]) -> DataFrame:
-    """Turn a single aggregated row into one row per column."""
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[fields[c][name].alias(name) for name in fields[c]]) for c in columns
-    ]
-    return wide.select(F.inline(F.array(*rows)))
-
-
 def missing_summary(df: DataFrame) -> DataFrame:
     """Missing values per column: count, and percentage to two places."""
     columns = df.columns
     wide = df.agg(
         F.count(F.lit(1)).alias("_rows"), *[F.count_if(missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]
     )
-    share = {
-        c: {
-            "missing_count": F.col(f"m{i}"),
-            "missing_percentage": rounded_even(F.try_divide(F.col(f"m{i}").cast("double"), F.col("_rows")) * 100),
-        }
-        for i, c in enumerate(columns)
-    }
-    return _one_row_per_column(wide, columns, share)
+    percentage = "rint(try_divide(CAST(m{i} AS DOUBLE), _rows) * 100 * 100) / 100"
+    return wide.selectExpr(
+        sql.rows(
+            [
+                {
+                    "column": sql.text(c),
+                    "missing_count": f"m{i}",
+                    "missing_percentage": percentage.format(i=i),
+                }
+                for i, c in enumerate(columns)
+            ]
+        )
+    )
 
 
 def missing_columns(df: DataFrame) -> DataFrame:
@@ -70,33 +68,30 @@ def missing_columns(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
     columns = list(columns if columns is not None else numeric_columns(df))
-    numbers = df.select(*[plain_number(df, c).alias(c) for c in columns])
-    aggregates = []
-    for i, c in enumerate(columns):
-        aggregates += [
-            F.count(c).alias(f"count{i}"),
-            F.avg(c).alias(f"mean{i}"),
-            F.stddev_samp(c).alias(f"std{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
+    numbers = df.selectExpr(*[f"{sql.plain_number(df, c)} AS _v{i}" for i, c in enumerate(columns)])
+    measures = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    wide = numbers.agg(
+        *[
+            F.expr(f"{function}(_v{i}) AS {label}{i}")
+            for i in range(len(columns))
+            for label, function in measures.items()
         ]
-    kept = ["count", "mean", "std", "min", "max"]
-    moments = _one_row_per_column(
-        numbers.agg(*aggregates),
-        columns,
-        {c: {name: F.col(f"{name}{i}") for name in kept} for i, c in enumerate(columns)},
+    )
+    moments = wide.selectExpr(
+        sql.rows(
+            [{"column": sql.text(c), **{label: f"{label}{i}" for label in measures}} for i, c in enumerate(columns)]
+        )
     )
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], exact=exact)
-    joined = moments.join(quartiles, "column", "left")
-    return joined.select(
-        "column",
+    return moments.join(quartiles, "column", "left").selectExpr(
+        "`column`",
         "count",
         "mean",
         "std",
         "min",
-        F.get("quantiles", F.lit(0)).alias("q25"),
-        F.get("quantiles", F.lit(1)).alias("q50"),
-        F.get("quantiles", F.lit(2)).alias("q75"),
+        "get(quantiles, 0) AS q25",
+        "get(quantiles, 1) AS q50",
+        "get(quantiles, 2) AS q75",
         "max",
     )
 
@@ -141,43 +136,64 @@ def city_distances(df: DataFrame) -> DataFrame:
     return with_distance(in_city(coerced(df, GPS_COLUMNS)))
 
 
-def _pairwise(df: DataFrame, columns: Sequence[str]) -> dict[tuple[int, int], Column]:
-    pairs = {}
-    for i, a in enumerate(columns):
-        for j in range(i + 1, len(columns)):
-            b = columns[j]
-            both_a = F.when(F.col(b).isNotNull(), F.col(a))
-            both_b = F.when(F.col(a).isNotNull(), F.col(b))
-            spread = F.stddev_pop(both_a) * F.stddev_pop(both_b)
-            pairs[i, j] = F.try_divide(F.covar_pop(F.col(a), F.col(b)), spread)
-    return pairs
+def _pair_sums(a: str, b: str, pair: str, masked: bool) -> list[str]:
+    """Sums of two centred columns over the rows where both are present."""
+    sums = [f"sum({a} * {b}) AS xy{pair}"]
+    if masked:
+        sums.append(f"count({a} + {b}) AS n{pair}")
+        for side, own, other in (("x", a, b), ("y", b, a)):
+            value = f"CASE WHEN {other} IS NOT NULL THEN {own} END"
+            sums += [
+                f"sum({value}) AS {side}{pair}",
+                f"sum(({value}) * {own}) AS {side}{side}{pair}",
+                f"min({value}) = max({value}) AS flat{side}{pair}",
+            ]
+    return sums
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS) -> DataFrame:
     """Pearson correlations over the rows where both columns are present.
 
     Columns that are absent or have no value are left out; a constant column
-    gives NULL. All pairs come from one pass over the table.
+    gives NULL. A first pass finds the means, a second adds up products of the
+    centred columns: plain sums for all pairs at once, with separate row counts
+    only for pairs in which a value is missing somewhere.
     """
     present = [c for c in columns if c in df.columns]
-    numbers = coerced(df, present).select(*[F.col(c).cast("double").alias(c) for c in present])
-    filled = numbers.agg(*[F.count(c).alias(c) for c in present]).first()
-    used = [c for c in present if filled[c]]
+    numbers = coerced(df, present).select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(present)])
+    first = ["count(*) AS rows"]
+    for i in range(len(present)):
+        first += [f"count(c{i}) AS n{i}", f"avg(c{i}) AS m{i}", f"min(c{i}) = max(c{i}) AS flat{i}"]
+    known = numbers.agg(*[F.expr(e) for e in first]).first()
+    used = [i for i in range(len(present)) if known[f"n{i}"]]
     if len(used) < 2:
         raise ValueError("a correlation matrix needs two columns with values")
-    pairs = _pairwise(numbers, used)
-    wide = numbers.agg(
-        *[value.alias(f"r{i}_{j}") for (i, j), value in pairs.items()],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(used)],
-    )
-
-    def entry(i: int, j: int) -> Column:
+    full = {i: known[f"n{i}"] == known["rows"] for i in used}
+    centred = numbers.selectExpr(*[f"c{i} - {sql.double(known[f'm{i}'])} AS c{i}" for i in used])
+    sums = []
+    for place, i in enumerate(used):
+        sums += [f"sum(c{i}) AS s{i}", f"sum(c{i} * c{i}) AS ss{i}"]
+        for j in used[place + 1 :]:
+            sums += _pair_sums(f"c{i}", f"c{j}", f"{i}_{j}", not (full[i] and full[j]))
+
+    def entry(i: int, j: int) -> str:
+        i, j = min(i, j), max(i, j)
         if i == j:
-            return F.when(F.col(f"s{i}") > 0, 1.0)
-        return F.col(f"r{min(i, j)}_{max(i, j)}")
-
-    fields = {c: {other: entry(i, j) for j, other in enumerate(used)} for i, c in enumerate(used)}
-    return _one_row_per_column(wide, used, fields)
+            return sql.double(None if known[f"flat{i}"] else 1.0)
+        pair = f"{i}_{j}"
+        if full[i] and full[j]:
+            if known[f"flat{i}"] or known[f"flat{j}"]:
+                return sql.double(None)
+            flat, n, x, y, xx, yy = "false", f"{known['rows']}L", f"s{i}", f"s{j}", f"ss{i}", f"ss{j}"
+        else:
+            flat = f"flatx{pair} OR flaty{pair}"
+            n, x, y, xx, yy = f"n{pair}", f"x{pair}", f"y{pair}", f"xx{pair}", f"yy{pair}"
+        covariance = f"xy{pair} - try_divide({x} * {y}, {n})"
+        spread = f"sqrt({xx} - try_divide({x} * {x}, {n})) * sqrt({yy} - try_divide({y} * {y}, {n}))"
+        return f"CASE WHEN NOT ({flat}) THEN try_divide({covariance}, {spread}) END"
+
+    matrix = [{"column": sql.text(present[i]), **{present[j]: entry(i, j) for j in used}} for i in used]
+    return centred.agg(*[F.expr(e) for e in sums]).selectExpr(sql.rows(matrix))
 
 
 def moved_trips_in_minutes(df: DataFrame, target: str = "trip_duration") -> DataFrame:
@@ -222,7 +238,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, upper_prob: float = 0.
     limits = quantile_values(df, [column], [0.0, upper_prob])[column]
     if limits[0] is None:
         raise ValueError(f"{column} has no value")
-    usual = df.select(plain_number(df, column).alias("v")).filter(F.col("v") <= F.lit(limits[1]))
+    usual = df.selectExpr(f"{sql.plain_number(df, column)} AS v").filter(F.col("v") <= F.lit(limits[1]))
     low, high = usual.agg(F.min("v"), F.max("v")).first()
     if low == high:
         low, high = low - 0.5, high + 0.5

@@ -20,29 +20,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_VALUES = 1_000_000  # distinct values that one task may hold
+from tripforge.functions import sqltext as sql
+
+MAX_VALUES = 50_000  # distinct values that one task may hold
 MAX_GROUPS = 1_000  # groups whose ranks the driver follows
 MAX_BRACKETS = 100  # ranges looked at in one pass
 CELLS = 2_048
 
 
-def plain_number(df: DataFrame, column: str) -> Column:
-    """The column as a double with NaN taken for missing."""
-    value = F.col(column).cast("double")
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return F.nanvl(value, F.lit(None).cast("double"))
-    return value
-
-
 def _tall(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """One row per present value: the group columns, ``column`` and ``value``."""
-    picked = df.select(*by, *[plain_number(df, c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    picked = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
     if len(columns) == 1:
         tall = picked.select(*by, F.lit(columns[0]).alias("column"), F.col("_v0").alias("value"))
     else:
-        pairs = [F.struct(F.lit(c).alias("column"), F.col(f"_v{i}").alias("value")) for i, c in enumerate(columns)]
-        tall = picked.select(*by, F.inline(F.array(*pairs)))
-    return tall.filter(F.col("value").isNotNull())
+        pairs = [{"column": sql.text(c), "value": f"_v{i}"} for i, c in enumerate(columns)]
+        tall = picked.select(*by, F.expr(sql.rows(pairs)))
+    return tall.filter("value IS NOT NULL")
 
 
 def counted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -77,19 +71,19 @@ class _Extent:
 
 def _extents(df: DataFrame, columns: Sequence[str], by: Sequence[str], max_groups: int) -> list[_Extent] | None:
     """Count and range of each column in each group; None where there are too many groups."""
-    picked = df.select(*by, *[plain_number(df, c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    picked = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
+    infinity = sql.double(math.inf)
     aggregates = []
     for i in range(len(columns)):
-        value = F.col(f"_v{i}")
-        finite = F.when(F.abs(value) < math.inf, value)
+        finite = f"CASE WHEN abs(_v{i}) < {infinity} THEN _v{i} END"
         aggregates += [
-            F.count(value).alias(f"n{i}"),
-            F.min(finite).alias(f"lo{i}"),
-            F.max(finite).alias(f"hi{i}"),
-            F.count_if(value == -math.inf).alias(f"neg{i}"),
-            F.count_if(value == math.inf).alias(f"pos{i}"),
+            f"count(_v{i}) AS n{i}",
+            f"min({finite}) AS lo{i}",
+            f"max({finite}) AS hi{i}",
+            f"count_if(_v{i} = -{infinity}) AS neg{i}",
+            f"count_if(_v{i} = {infinity}) AS pos{i}",
         ]
-    rows = picked.groupBy(*by).agg(*aggregates).limit(max_groups + 1).collect()
+    rows = picked.groupBy(*by).agg(*[F.expr(a) for a in aggregates]).limit(max_groups + 1).collect()
     if len(rows) > max_groups:
         return None
     return [
@@ -121,29 +115,31 @@ class _Bracket:
 
     def holds(self, by: Sequence[str], value: Column) -> Column:
         same_group = [F.col(b).eqNullSafe(F.lit(g)) for b, g in zip(by, self.extent.group)]
-        return functools.reduce(operator.and_, same_group, value.between(F.lit(self.low), F.lit(self.high)))
+        inside = value.between(F.lit(self.low), F.lit(self.high))
+        return functools.reduce(operator.and_, same_group, inside)
 
 
 def _located(df: DataFrame, by: Sequence[str], brackets: list[_Bracket], cells: int) -> DataFrame:
     """``slot`` (bracket and cell number) and ``value`` of every value inside a bracket."""
-    slots = {}
+    columns = list(dict.fromkeys(b.extent.column for b in brackets))
+    numbers = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
+    slots: dict[str, Column] = {}
     for number, bracket in enumerate(brackets):
-        value = plain_number(df, bracket.extent.column)
-        cell = F.lit(0)
+        source = f"_v{columns.index(bracket.extent.column)}"
+        cell = "0"
         if cells > 1 and bracket.high > bracket.low:
             # Halves keep the width finite for any two doubles.
-            share = (value / 2 - bracket.low / 2) / (bracket.high / 2 - bracket.low / 2)
-            cell = F.least(F.floor(share * cells), F.lit(cells - 1))
-        slot = (cell + number * cells).cast("bigint")
-        so_far = slots.get(bracket.extent.column)
-        inside = bracket.holds(by, value)
-        slots[bracket.extent.column] = F.when(inside, slot) if so_far is None else so_far.when(inside, slot)
-    found = [F.struct(s.alias("slot"), plain_number(df, c).alias("value")) for c, s in slots.items()]
+            low, high = sql.double(bracket.low / 2), sql.double(bracket.high / 2)
+            cell = f"least(floor(({source} / 2 - {low}) / ({high} - {low}) * {cells}), {cells - 1})"
+        slot = F.expr(f"CAST({cell} + {number * cells} AS BIGINT)")
+        inside = bracket.holds(by, F.col(source))
+        slots[source] = slots[source].when(inside, slot) if source in slots else F.when(inside, slot)
+    found = [F.struct(slot.alias("slot"), F.col(source).alias("value")) for source, slot in slots.items()]
     if len(found) == 1:
-        tall = df.select(found[0].alias("f")).select("f.slot", "f.value")
+        tall = numbers.select(found[0].alias("f")).select("f.slot", "f.value")
     else:
-        tall = df.select(F.inline(F.array(*found)))
-    return tall.filter(F.col("slot").isNotNull())
+        tall = numbers.select(F.inline(F.array(*found)))
+    return tall.filter("slot IS NOT NULL")
 
 
 def _narrowed(df: DataFrame, by: Sequence[str], brackets: list[_Bracket], cells: int) -> list[_Bracket]:

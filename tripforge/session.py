@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of column functions help debugging only; each costs round trips to the JVM.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

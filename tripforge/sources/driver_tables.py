@@ -42,10 +42,9 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
             F.timestamp_add("SECOND", seconds, F.col("ts"))
         ),
     }
-    source = events(spark, folder).withColumn("_copies", F.when(every(199), 2).otherwise(1))
-    shaped = source.select("_copies", *[expression.alias(name) for name, expression in ends.items()])
-    copied = shaped.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return copied.select(*TRIP_COLUMNS)
+    row = F.struct(*[ends[c].alias(c) for c in TRIP_COLUMNS])
+    copies = F.array_repeat(row, F.when(every(199), 2).otherwise(1))
+    return events(spark, folder).select(F.inline(copies))
 
 
 def text_trips(spark: SparkSession, folder: str) -> DataFrame:
