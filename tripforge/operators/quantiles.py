@@ -26,6 +26,7 @@ MAX_VALUES = 50_000  # distinct values that one task may hold
 MAX_GROUPS = 1_000  # groups whose ranks the driver follows
 MAX_BRACKETS = 100  # ranges looked at in one pass
 CELLS = 2_048
+MAX_CELLS = 16_384
 
 
 def _tall(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -209,7 +210,9 @@ def _values_at_ranks(
                 wide.append(bracket)
         open_brackets = []
         for start in range(0, len(wide), MAX_BRACKETS):
-            open_brackets += _narrowed(df, by, wide[start : start + MAX_BRACKETS], cells)
+            batch = wide[start : start + MAX_BRACKETS]
+            # The driver reads one small row a cell: fewer cells each where there are many brackets.
+            open_brackets += _narrowed(df, by, batch, min(cells, max(256, MAX_CELLS // len(batch))))
     for start in range(0, len(sortable), MAX_BRACKETS):
         batch = sortable[start : start + MAX_BRACKETS]
         for (slot, rank), value in _ranked(df, by, batch).items():
