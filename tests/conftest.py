@@ -13,8 +13,8 @@ from tripforge.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(4, memory="6g", app="tripforge-tests")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    folder = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, memory="6g", app="tripforge-tests", settings={"spark.checkpoint.dir": folder})
     yield session
     session.stop()
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripforge.operators.quantiles import quantile_values
 from tripforge.schema import TARGET_NAMES
@@ -25,8 +27,17 @@ class Fence:
     high: float | None
 
     def apply(self, df: DataFrame) -> DataFrame:
-        """Rows inside the fence, ends included; missing values are dropped."""
-        return df.filter(F.col(self.column).between(F.lit(self.low), F.lit(self.high)))
+        """Rows inside the fence, ends included; missing values are dropped.
+
+        For whole numbers the ends are rounded inwards, so that the column is
+        compared as it is stored and the scan can skip row groups.
+        """
+        low, high = self.low, self.high
+        if low is None:
+            return df.filter(F.lit(False))
+        if isinstance(df.schema[self.column].dataType, T.IntegralType) and max(abs(low), abs(high)) < 2**53:
+            low, high = math.ceil(low), math.floor(high)
+        return df.filter(F.col(self.column).between(F.lit(low), F.lit(high)))
 
 
 def iqr_fence(df: DataFrame, column: str, multiplier: float = IQR_MULTIPLIER) -> Fence:

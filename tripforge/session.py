@@ -19,7 +19,9 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tripforge") -> SparkSession:
+def local_session(
+    cores: int | str = "*", memory: str = "8g", app: str = "tripforge", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and benchmarks; on a cluster the submitter's settings rule."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,7 +30,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tripfo
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
