@@ -14,7 +14,7 @@ from tripforge.functions.coerce import coerced, missing
 from tripforge.functions.measures import minutes
 from tripforge.operators.enrich import with_distance
 from tripforge.operators.outliers import in_city, within_upper_percentile
-from tripforge.operators.quantiles import quantile_values, quantiles
+from tripforge.operators.quantiles import quantile_values, quantiles, summaries
 from tripforge.schema import CORRELATION_COLUMNS, GPS_COLUMNS
 
 
@@ -65,35 +65,22 @@ def missing_columns(df: DataFrame) -> DataFrame:
     return missing_summary(df).filter(F.col("missing_percentage") > 0).orderBy(F.desc("missing_percentage"), "column")
 
 
+DESCRIPTION = T.StructType(
+    [T.StructField("column", T.StringType()), T.StructField("count", T.LongType())]
+    + [T.StructField(c, T.DoubleType()) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+)
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
     columns = list(columns if columns is not None else numeric_columns(df))
-    numbers = df.selectExpr(*[f"{sql.plain_number(df, c)} AS _v{i}" for i, c in enumerate(columns)])
-    measures = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
-    wide = numbers.agg(
-        *[
-            F.expr(f"{function}(_v{i}) AS {label}{i}")
-            for i in range(len(columns))
-            for label, function in measures.items()
-        ]
-    )
-    moments = wide.selectExpr(
-        sql.rows(
-            [{"column": sql.text(c), **{label: f"{label}{i}" for label in measures}} for i, c in enumerate(columns)]
-        )
-    )
-    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], exact=exact)
-    return moments.join(quartiles, "column", "left").selectExpr(
-        "`column`",
-        "count",
-        "mean",
-        "std",
-        "min",
-        "get(quantiles, 0) AS q25",
-        "get(quantiles, 1) AS q50",
-        "get(quantiles, 2) AS q75",
-        "max",
-    )
+    measures = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    found = summaries(df, columns, [0.25, 0.5, 0.75], measures, exact=exact)
+    rows = [
+        (c, s.count, s.measures["mean"], s.measures["std"], s.measures["min"], *s.quantiles, s.measures["max"])
+        for c, s in found.items()
+    ]
+    return df.sparkSession.createDataFrame(rows, DESCRIPTION)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None, top: int = 20) -> DataFrame:

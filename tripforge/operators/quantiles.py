@@ -57,12 +57,14 @@ def approximate_quantiles(
 class _Extent:
     group: tuple
     column: str
-    rows: int
+    total: int  # rows of the group, with missing values
+    rows: int  # present values
     low: float | None
     high: float | None
     below: int  # values at minus infinity
     above: int  # values at plus infinity
     whole: bool  # an integer column
+    measures: dict[str, float | None]
 
     def distinct_bound(self) -> float:
         if self.whole and self.low is not None:
@@ -70,11 +72,21 @@ class _Extent:
         return self.rows
 
 
-def _extents(df: DataFrame, columns: Sequence[str], by: Sequence[str], max_groups: int) -> list[_Extent] | None:
-    """Count and range of each column in each group; None where there are too many groups."""
+def _extents(
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (),
+    max_groups: int = MAX_GROUPS,
+    measures: dict[str, str] | None = None,
+) -> list[_Extent] | None:
+    """Count and range of each column in each group; None where there are too many groups.
+
+    ``measures`` names further aggregate functions to take in the same pass.
+    """
+    measures = measures or {}
     picked = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
     infinity = sql.double(math.inf)
-    aggregates = []
+    aggregates = ["count(*) AS total"]
     for i in range(len(columns)):
         finite = f"CASE WHEN abs(_v{i}) < {infinity} THEN _v{i} END"
         aggregates += [
@@ -83,6 +95,7 @@ def _extents(df: DataFrame, columns: Sequence[str], by: Sequence[str], max_group
             f"max({finite}) AS hi{i}",
             f"count_if(_v{i} = -{infinity}) AS neg{i}",
             f"count_if(_v{i} = {infinity}) AS pos{i}",
+            *[f"{function}(_v{i}) AS {label}{i}" for label, function in measures.items()],
         ]
     rows = picked.groupBy(*by).agg(*[F.expr(a) for a in aggregates]).limit(max_groups + 1).collect()
     if len(rows) > max_groups:
@@ -91,12 +104,14 @@ def _extents(df: DataFrame, columns: Sequence[str], by: Sequence[str], max_group
         _Extent(
             tuple(row[b] for b in by),
             column,
+            row["total"],
             row[f"n{i}"],
             row[f"lo{i}"],
             row[f"hi{i}"],
             row[f"neg{i}"],
             row[f"pos{i}"],
             isinstance(df.schema[column].dataType, T.IntegralType),
+            {label: row[f"{label}{i}"] for label in measures},
         )
         for row in rows
         for i, column in enumerate(columns)
@@ -228,6 +243,24 @@ def _interpolated(values: dict[int, float], rows: int, prob: float) -> float:
     return (high - position) * values[low] + (position - low) * values[high]
 
 
+def _all_narrow(extents: list[_Extent] | None, max_values: int) -> bool:
+    return extents is None or all(e.distinct_bound() <= max_values for e in extents)
+
+
+def _solved(
+    df: DataFrame, by: Sequence[str], extents: list[_Extent], probs: Sequence[float], max_values: int, cells: int
+) -> list[tuple[_Extent, list[float]]]:
+    wanted = []
+    for extent in extents:
+        if extent.rows:
+            positions = [(extent.rows - 1) * p for p in probs]
+            wanted.append((extent, {f(x) for x in positions for f in (math.floor, math.ceil)}))
+    answers = _values_at_ranks(df, by, wanted, max_values, cells)
+    return [
+        (extent, [_interpolated(found, extent.rows, p) for p in probs]) for (extent, _), found in zip(wanted, answers)
+    ]
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -247,18 +280,9 @@ def quantiles(
     if not exact:
         return approximate_quantiles(df, columns, probs, by)
     extents = _extents(df, columns, by, max_groups)
-    if extents is None or all(e.distinct_bound() <= max_values for e in extents):
+    if _all_narrow(extents, max_values):
         return counted_quantiles(df, columns, probs, by)
-    wanted = []
-    for extent in extents:
-        if extent.rows:
-            positions = [(extent.rows - 1) * p for p in probs]
-            wanted.append((extent, {f(x) for x in positions for f in (math.floor, math.ceil)}))
-    answers = _values_at_ranks(df, by, wanted, max_values, cells)
-    rows = [
-        (*extent.group, extent.column, [_interpolated(found, extent.rows, p) for p in probs])
-        for (extent, _), found in zip(wanted, answers)
-    ]
+    rows = [(*e.group, e.column, values) for e, values in _solved(df, by, extents, probs, max_values, cells)]
     schema = T.StructType(
         [df.schema[b] for b in by]
         + [T.StructField("column", T.StringType()), T.StructField("quantiles", T.ArrayType(T.DoubleType()))]
@@ -266,7 +290,40 @@ def quantiles(
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+@dataclass(frozen=True)
+class Summary:
+    """A column's rows, present values, further measures and quantiles."""
+
+    rows: int
+    count: int
+    measures: dict[str, float | None]
+    quantiles: list[float | None]
+
+
+def summaries(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    measures: dict[str, str] | None = None,
+    exact: bool = True,
+    max_values: int = MAX_VALUES,
+    cells: int = CELLS,
+) -> dict[str, Summary]:
+    """Quantiles of whole columns and other aggregates of them, as Python numbers.
+
+    The aggregates come from the pass that the quantiles need anyway.
+    """
+    columns, probs = list(columns), [float(p) for p in probs]
+    extents = _extents(df, columns, measures=measures)
+    if exact and not _all_narrow(extents, max_values):
+        found = {e.column: values for e, values in _solved(df, (), extents, probs, max_values, cells)}
+    else:
+        one_pass = counted_quantiles if exact else approximate_quantiles
+        found = {row["column"]: row["quantiles"] for row in one_pass(df, columns, probs).collect()}
+    nothing = [None] * len(probs)
+    return {e.column: Summary(e.total, e.rows, e.measures, found.get(e.column, nothing)) for e in extents}
+
+
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> dict[str, list]:
-    """Quantiles of whole columns as Python numbers: a few per column, for use as limits."""
-    found = {row["column"]: row["quantiles"] for row in quantiles(df, columns, probs, **options).collect()}
-    return {c: found.get(c, [None] * len(list(probs))) for c in columns}
+    """A few quantiles per column as Python numbers, for use as limits."""
+    return {c: summary.quantiles for c, summary in summaries(df, columns, probs, **options).items()}

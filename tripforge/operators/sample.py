@@ -17,18 +17,19 @@ def row_hash(key: str | Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def hash_cut(df: DataFrame, key: str | Sequence[str], n: int, seed: int) -> str | None:
-    """The largest of the ``n`` smallest row hashes; None where there are fewer rows.
+def _hash_prefix(hashes: DataFrame, n: int | None, share: float | None) -> tuple[str, int] | None:
+    """Leading digits of the n-th smallest hash, and its place among hashes with these digits.
 
-    Counts rows by the leading digits of the hash and follows the digits in
-    which the n-th row lies, until few enough rows are left to sort.
+    Each pass counts the hashes by four more digits, at most 65,536 counts, until
+    few enough hashes share the digits. None where there are fewer than n rows.
     """
-    hashes = df.select(row_hash(key, seed).alias("h"))
     prefix, left = "", n
     while True:
         shown = len(prefix) + DIGITS
         inside = hashes.filter(F.col("h").startswith(prefix)) if prefix else hashes
         counts = inside.groupBy(F.substring("h", 1, shown).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        if left is None:
+            left = math.ceil(share * sum(row["n"] for row in counts))
         for row in sorted(counts, key=lambda r: r["p"]):
             if row["n"] >= left:
                 break
@@ -37,28 +38,45 @@ def hash_cut(df: DataFrame, key: str | Sequence[str], n: int, seed: int) -> str
             return None
         prefix = row["p"]
         if row["n"] <= SORTABLE or shown >= 32:
-            break
-    tail = hashes.filter(F.col("h").startswith(prefix)).orderBy("h").limit(left)
+            return prefix, left
+
+
+def hash_cut(
+    df: DataFrame, key: str | Sequence[str], n: int | None = None, seed: int = 42, share: float | None = None
+) -> str | None:
+    """The largest of the ``n`` smallest row hashes; None where there are fewer rows.
+
+    With ``share`` in place of ``n``, the number is that share of the rows, rounded up.
+    """
+    hashes = df.select(row_hash(key, seed).alias("h"))
+    found = _hash_prefix(hashes, n, share)
+    if found is None:
+        return None
+    prefix, place = found
+    tail = hashes.filter(F.col("h").startswith(prefix)).orderBy("h").limit(place)
     return tail.agg(F.max("h")).first()[0]
 
 
 def sample_rows(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement, or all rows where there are no more than ``n``.
 
-    Only rows up to the cut are sorted, so the last task receives about ``n`` rows
-    however large the table is.
+    Rows beyond the digits of the n-th hash are dropped before the sort, so the
+    last task receives little more than ``n`` rows however large the table is.
     """
-    cut = hash_cut(df, key, n, seed)
-    if cut is None:
+    found = _hash_prefix(df.select(row_hash(key, seed).alias("h")), n, None)
+    if found is None:
         return df
+    prefix, _ = found
     keys = [key] if isinstance(key, str) else list(key)
-    picked = df.withColumn("_h", row_hash(key, seed)).filter(F.col("_h") <= cut)
-    return picked.orderBy("_h", *keys).limit(n).drop("_h")
+    hashed = df.withColumn("_h", row_hash(key, seed))
+    return hashed.filter(F.substring("_h", 1, len(prefix)) <= prefix).orderBy("_h", *keys).limit(n).drop("_h")
 
 
 def in_test_share(key: str | Sequence[str], share: float = 0.2, seed: int = 42) -> Column:
     """True for about this share of keys; needs no other row, so no pass and no shuffle."""
-    bound = f"{min(int(share * 16**8), 16**8 - 1):08x}"
+    if share >= 1:
+        return F.lit(True)
+    bound = f"{int(share * 16**8):08x}"
     return F.substring(row_hash(key, seed), 1, 8) < bound
 
 
@@ -70,8 +88,8 @@ def split_rows(
     The key should be unique: rows with equal keys stay on one side.
     """
     if exact:
-        cut = hash_cut(df, key, math.ceil(share * df.count()), seed)
-        test = row_hash(key, seed) <= F.lit(cut)
+        cut = hash_cut(df, key, seed=seed, share=share)
+        test = row_hash(key, seed) <= F.lit(cut or "")
     else:
         test = in_test_share(key, share, seed)
     return df.filter(~test), df.filter(test)

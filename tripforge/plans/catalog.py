@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripforge.functions.calendar import form_parts, weekday_name, with_pickup_parts
-from tripforge.functions.measures import minutes
+from tripforge.functions.measures import minutes, rounded_even
 from tripforge.operators import drift, enrich, features, metrics, models, outliers, profile, sample, scoring, validate
 from tripforge.plans import preparation, reports, training
 from tripforge.schema import FEATURE_COLUMNS, NUMBER_COLUMNS, TARGET, WEATHER_MEASURES
@@ -45,7 +45,7 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             changed[field.name] = epoch(field.name)
         elif isinstance(field.dataType, T.DoubleType):
-            changed[field.name] = F.round(field.name, 6) + F.lit(0.0)
+            changed[field.name] = rounded_even(F.col(field.name), 6) + F.lit(0.0)
     return df.withColumns(changed) if changed else df
 
 
@@ -412,9 +412,14 @@ def preview(spark, folder):
 # --- samples and splits --------------------------------------------------------
 
 
+def _stored_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of the valid trips, stored: sampling passes over them more than once."""
+    return stored(_checked(spark, folder).select("id"), "ids")
+
+
 @query
 def fixed_size_sample(spark, folder):
-    return sample.sample_rows(_checked(spark, folder).select("id"), "id", 2_000)
+    return sample.sample_rows(_stored_ids(spark, folder), "id", 2_000)
 
 
 @query
@@ -424,14 +429,13 @@ def hashed_split(spark, folder):
 
 @query
 def exact_split(spark, folder):
-    rows = _checked(spark, folder).select("id")
-    train, test = sample.split_rows(rows, "id", exact=True)
+    train, test = sample.split_rows(_stored_ids(spark, folder), "id", exact=True)
     return train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))
 
 
 @query
 def tuning_sample(spark, folder):
-    train, _ = sample.split_rows(_checked(spark, folder).select("id"), "id")
+    train, _ = sample.split_rows(_stored_ids(spark, folder), "id")
     return sample.sample_rows(train, "id", 1_000)
 
 
@@ -556,7 +560,7 @@ def distance_regression(spark, folder):
     )
     fitted = run.model.stages[-1]
     found = run.metrics.withColumns({"slope": F.lit(float(fitted.coefficients[0])), "intercept": F.lit(fitted.intercept)})
-    return found.select(*[F.round(c, 4).alias(c) for c in found.columns])
+    return found.select(*[rounded_even(F.col(c), 4).alias(c) for c in found.columns])
 
 
 @query

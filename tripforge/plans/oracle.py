@@ -25,7 +25,7 @@ Q25, Q50, Q75 = ("0.25::DOUBLE", "0.5::DOUBLE", "0.75::DOUBLE")
 
 
 def r(expression: str, places: int = 6) -> str:
-    return f"(round(CAST({expression} AS DOUBLE), {places}) + 0.0::DOUBLE)"
+    return f"(round_even(CAST({expression} AS DOUBLE), {places}) + 0.0::DOUBLE)"
 
 
 def _haversine(prefix: str = "") -> str:
