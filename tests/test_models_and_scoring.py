@@ -110,12 +110,14 @@ def test_drawn_settings_are_distinct_and_repeatable():
     assert len(models.drawn_settings({"maxIter": [1, 2]}, draws=10)) == 2
 
 
-def test_search_returns_the_lowest_rmse(spark, features):
+def test_search_returns_the_lowest_rmse(spark, features, tmp_path):
     settings = [{"maxIter": 1, "maxDepth": 1}, {"maxIter": 8, "maxDepth": 4}]
     train, _ = split_rows(features, "id")
     best, result = models.random_search(train, settings, rows=300)
     assert best == settings[1]
     assert models.search_table(spark, settings, result).first()["mean_rmse"] == min(result.avgMetrics)
+    models.save_search(result, str(tmp_path / "search"))
+    assert models.load_search(str(tmp_path / "search")).avgMetrics == pytest.approx(result.avgMetrics)
 
 
 def test_default_settings():

@@ -41,9 +41,19 @@ def coerced(
     times: Iterable[str] = (),
     formats: Iterable[str] = ("yyyy-MM-dd HH:mm:ss",),
 ) -> DataFrame:
+    """Replace the named columns by their numbers and times.
+
+    Text is parsed once a row: a filter on top of a plain projection would be
+    moved below it and parse again for each of its conditions, but it stays
+    above a generator. Typed columns keep the projection, so that filters on
+    them still reach the scan.
+    """
     formats = list(formats)
     changed = {c: number(df, c) for c in numbers}
     changed.update({c: time(df, c, formats) for c in times})
+    if any(isinstance(df.schema[c].dataType, T.StringType) for c in changed):
+        row = F.struct(*[changed.get(c, F.col(c)).alias(c) for c in df.columns])
+        return df.select(F.inline(F.array(row)))
     return df.withColumns(changed)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tripforge.functions import sqltext as sql
 
-MAX_VALUES = 50_000  # distinct values that one task may hold
+MAX_VALUES = 200_000  # distinct values that one task may hold
 MAX_GROUPS = 1_000  # groups whose ranks the driver follows
 MAX_BRACKETS = 100  # ranges looked at in one pass
 CELLS = 2_048
