@@ -59,6 +59,14 @@ def test_broadcast_only_within_the_bound(trips, weather):
     assert "_salt" in plan(enrich.with_weather(trips, weather, broadcast_hours=0))
 
 
+def test_a_busy_hour_joins_the_same_way(spark, weather):
+    busy = [trip(id=f"h{i}", pickup_datetime=f"2016-01-01 08:{i % 15:02d}:00") for i in range(300)]
+    trips = validate.valid_trips(trip_table(spark, *busy, trip(id="q", pickup_datetime="2016-01-01 03:00:00")))
+    salted = enrich.with_weather(trips, weather, broadcast_hours=0).orderBy("id").collect()
+    assert salted == enrich.with_weather(trips, weather).orderBy("id").collect()
+    assert sum(r["weather_data_available"] for r in salted) == 300
+
+
 def test_no_weather(trips):
     rows = enrich.with_weather(trips, None).collect()
     assert all(r["temperature_c"] is None and r["weather_data_available"] == 0 for r in rows)

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from rows import trip, trip_table
 
 from tripforge.operators import features
-from tripforge.operators.validate import InvalidTable, validation_report
+from tripforge.operators.profile import value_counts
+from tripforge.operators.validate import InvalidTable, valid_trips, validation_report
 from tripforge.plans import preparation, reports
 from tripforge.schema import FEATURE_COLUMNS, TRIP_COLUMNS
-from tripforge.session import shared_folder, stored, use_checkpoints
+from tripforge.session import cluster_settings, shared_folder, stored, use_checkpoints
 from tripforge.sources import driver_tables, files, manifest
 
 
@@ -151,3 +152,26 @@ def test_intermediate_tables_go_to_the_named_folder(spark):
     assert all(f.startswith(f"file://{folder}/numbers-") for f in kept.inputFiles())
     use_checkpoints(spark)
     assert folder in spark.sparkContext.getCheckpointDir()
+
+
+def test_cluster_settings_follow_the_input():
+    assert cluster_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_settings(10**13)["spark.sql.shuffle.partitions"] == "37253"
+    assert cluster_settings(10**14)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_text_is_parsed_once(spark, tmp_path):
+    files.write_table(trip_table(spark, trip()), str(tmp_path / "t"), "csv")
+    plan = plan_text(valid_trips(files.read_trips(spark, str(tmp_path / "t"))))
+    assert plan.count("gettimestamp(") == 2
+    assert plan.count("try_cast(") == 7
+
+
+def test_one_shuffle_to_valid_trips(spark, small_tables):
+    plan = plan_text(valid_trips(driver_tables.trips(spark, small_tables)))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_top_values_are_cut_before_the_second_shuffle(spark, small_tables):
+    plan = plan_text(value_counts(driver_tables.trips(spark, small_tables)))
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning(column")[1]

@@ -36,7 +36,7 @@ def test_whole_columns(table, options):
     assert found["x"] == pytest.approx(list(pdf["x"].quantile(PROBS)), rel=1e-12)
 
 
-@pytest.mark.parametrize("options", [{}, BY_RANK, {"max_groups": 1}])
+@pytest.mark.parametrize("options", [{}, BY_RANK, {"max_groups": 1}, {"max_groups": 2, "max_values": 200, "cells": 9}])
 def test_groups_with_a_null_key(table, options):
     pdf, df = table
     rows = Q.quantiles(df, ["x"], [0.5, 0.9], by=["g"], **options).collect()

@@ -243,8 +243,8 @@ def _interpolated(values: dict[int, float], rows: int, prob: float) -> float:
     return (high - position) * values[low] + (position - low) * values[high]
 
 
-def _all_narrow(extents: list[_Extent] | None, max_values: int) -> bool:
-    return extents is None or all(e.distinct_bound() <= max_values for e in extents)
+def _all_narrow(extents: list[_Extent], max_values: int) -> bool:
+    return all(e.distinct_bound() <= max_values for e in extents)
 
 
 def _solved(
@@ -261,6 +261,26 @@ def _solved(
     ]
 
 
+def _many_groups(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], **bounds
+) -> DataFrame:
+    """Quantiles of more groups than the driver can follow.
+
+    The largest groups that one task could not hold are solved by rank; all
+    others, each a small part of the table, by counting values.
+    """
+    max_values, max_groups = bounds["max_values"], bounds["max_groups"]
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_values)
+    largest = sizes.orderBy(F.desc("_n")).limit(max_groups).drop("_n").collect()
+    if not largest:
+        return counted_quantiles(df, columns, probs, by)
+    keys = df.sparkSession.createDataFrame(largest, T.StructType([df.schema[b] for b in by]))
+    keys = F.broadcast(keys.withColumnsRenamed({b: f"_key_{b}" for b in by}))  # max_groups rows at most
+    same = functools.reduce(operator.and_, [F.col(b).eqNullSafe(F.col(f"_key_{b}")) for b in by])
+    by_rank = quantiles(df.join(keys, same, "left_semi"), columns, probs, by, **bounds)
+    return by_rank.unionByName(counted_quantiles(df.join(keys, same, "left_anti"), columns, probs, by))
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -280,6 +300,8 @@ def quantiles(
     if not exact:
         return approximate_quantiles(df, columns, probs, by)
     extents = _extents(df, columns, by, max_groups)
+    if extents is None:
+        return _many_groups(df, columns, probs, by, max_values=max_values, max_groups=max_groups, cells=cells)
     if _all_narrow(extents, max_values):
         return counted_quantiles(df, columns, probs, by)
     rows = [(*e.group, e.column, values) for e, values in _solved(df, by, extents, probs, max_values, cells)]

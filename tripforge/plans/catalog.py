@@ -588,7 +588,7 @@ def random_search_results(spark, folder):
     train, _ = sample.split_rows(_features(spark, folder)[0], "id")
     space = {**models.SEARCH_SPACE, "maxIter": [3, 5], "maxDepth": [2, 3, 4]}
     settings = models.drawn_settings(space, draws=3)
-    _, result = models.random_search(train, settings, rows=2_000)
+    _, result = models.random_search(train, settings)
     return comparable(models.search_table(spark, settings, result))
 
 
@@ -600,7 +600,6 @@ def selected_model_importance(spark, folder):
         forest={"numTrees": 10, "maxDepth": 5},
         boosted={"maxIter": 5, "maxDepth": 3},
         search=models.drawn_settings({"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.05, 0.1]}, draws=2),
-        search_rows=2_000,
     )
     trees = training.select_best(table, runs[1:])
     return comparable(trees.importance)

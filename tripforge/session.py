@@ -19,6 +19,26 @@ SETTINGS = {
 }
 
 
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000  # more would cost more in bookkeeping than spilling does
+
+
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Settings for a session that will shuffle about ``input_bytes``.
+
+    Full-row distinct shuffles the whole table, so partitions are sized from it;
+    adaptive execution merges those that turn out small.
+    """
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    partitions = max(200, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return {
+        **SETTINGS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+    }
+
+
 def local_session(
     cores: int | str = "*", memory: str = "8g", app: str = "tripforge", settings: dict[str, str] | None = None
 ) -> SparkSession:
