@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,19 +12,26 @@ WHOLE_FILE_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
 
 
-def _hash_in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _block_hasher(block_bytes: int = BLOCK_BYTES) -> Callable:
+    """A function that travels to executors by value, so they need not have this package."""
 
-    for batch in batches:
-        digests = []
-        for uri in batch["file"]:
-            system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
-            digest = hashlib.sha256()
-            with system.open_input_stream(path) as stream:
-                while block := stream.read(BLOCK_BYTES):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
+    def hash_in_blocks(batches):
+        import hashlib
+
+        from pyarrow import fs
+
+        for batch in batches:
+            digests = []
+            for uri in batch["file"]:
+                system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
+                digest = hashlib.sha256()
+                with system.open_input_stream(path) as stream:
+                    while block := stream.read(block_bytes):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield batch.assign(sha256=digests)
+
+    return hash_in_blocks
 
 
 def file_hashes(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
@@ -45,7 +50,7 @@ def file_hashes(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FI
         named.filter(F.col("bytes") > whole_file_bytes)
         .select("file", "bytes")
         .repartition("file")
-        .mapInPandas(_hash_in_blocks, "file string, bytes bigint, sha256 string")
+        .mapInPandas(_block_hasher(), "file string, bytes bigint, sha256 string")
     )
     return short.unionByName(long)
 
