@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import tempfile
 import uuid
@@ -92,3 +93,36 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Tables that one run of an operator keeps in the shared folder.
+
+    ``store`` writes a table once and reads it back, as ``stored`` does;
+    ``drop`` deletes tables that no later step reads. What a returned DataFrame
+    still reads stays until the driver ends.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path = spark, new_path(spark, label)
+        atexit.register(self.close)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._delete(f"{self.path}/{name}")
+
+    def close(self) -> None:
+        try:
+            self._delete(self.path)
+        except Exception:  # the session has ended; the folder's owner clears it
+            return
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
