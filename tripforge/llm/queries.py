@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripforge.llm import bpe, counting, exact, mixing, neardup, paragraphs, quality, secrets, sharding
+from tripforge.llm import bpe, counting, exact, mixing, neardup, paragraphs, quality, secrets, sharding, substrings
 from tripforge.llm.oracles import ORACLES as ORACLES
 from tripforge.session import Workspace
 
@@ -68,6 +68,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_copies(documents(spark, sf_dir).select("doc_id", "source"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 100-byte strings that occur earlier in the corpus, removed."""
+    return substrings.removed_substrings(documents(spark, sf_dir), Workspace(spark, "op10"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
