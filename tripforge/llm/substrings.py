@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +30,18 @@ _NO_ID = -(1 << 63)
 
 
 def anchors(part: Slice, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Anchors of the strings of ``length`` bytes of each row: (row, gram, place, first, last).
+    """Anchors of the strings of ``length`` bytes of each row: (row, gram, place, first, last, context).
 
     A string's anchor is its gram of the least hash, the leftmost of several, so
     equal strings have equal anchors at equal distances from their starts.
     Strings starting at ``first`` to ``last`` of a row share the anchor at
-    ``place``; all are offsets in bytes from the row's start.
+    ``place``; all are offsets in bytes from the row's start. ``context`` is a
+    hash of the bytes that these strings cover.
     """
     span, size = length - GRAM + 1, len(part.data)
     none = np.zeros(0, np.int64)
     if size < length:
-        return none, np.zeros(0, U64), none, none, none
+        return none, np.zeros(0, U64), none, none, none, np.zeros(0, U64)
     sums = prefix_sums(part.data)
     starts = np.arange(size - GRAM + 1)
     grams = span_hashes(sums, starts, starts + GRAM)
@@ -61,7 +63,8 @@ def anchors(part: Slice, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     last = change[np.searchsorted(change, first, "right")] - 1
     own = row[first]
     base = part.starts[own]
-    return own, grams[places[first]], places[first] - base, first - base, last - base
+    around = span_hashes(sums, first, last + length)
+    return own, grams[places[first]], places[first] - base, first - base, last - base, around
 
 
 def _narrow(part: Slice, length: int) -> Iterator[tuple[int, Slice, int]]:
@@ -80,33 +83,40 @@ def _narrow(part: Slice, length: int) -> Iterator[tuple[int, Slice, int]]:
             yield row, Slice(0, 1, part.data[start:end], np.array([0, end - start])), int(start - a)
 
 
+def _packed(first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Starts and anchor of a row of strings as one number that orders by ``first``."""
+    return first << 16 | (last - first) << 8 | (place - first)
+
+
+def _unpacked(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of starts, and bytes from the first start to the anchor."""
+    return packed >> 16, (packed >> 8 & 0xFF) + 1, packed & 0xFF
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Internal keys of a document: its id, rows without one coming first, and a hash that tells repeated ids apart."""
-    return docs.select(
-        F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("sum"), "text"
-    )
+    """``id`` is the document's id, rows without one coming first."""
+    return docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text")
 
 
 def _all_anchors(docs: DataFrame, length: int, grams_only: bool) -> DataFrame:
-    names = ["gram"] if grams_only else ["gram", "id", "sum", "place", "first", "last"]
+    names = ["gram"] if grams_only else ["gram", "id", "packed", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch["text"]):
                 for at, piece, offset in _narrow(part, length):
-                    row, gram, place, first, last = anchors(piece, length)
+                    row, gram, place, first, last, context = anchors(piece, length)
                     columns = [pa.array(gram.view(np.int64))]
                     if not grams_only:
-                        which = pa.array(row + at + part.first)
-                        columns += [batch["id"].take(which), batch["sum"].take(which)]
-                        columns += [pa.array(x + offset) for x in (place, first, last)]
+                        packed = _packed(first + offset, last + offset, place + offset)
+                        columns += [batch["id"].take(pa.array(row + at + part.first)), pa.array(packed), pa.array(context.view(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     return _keyed(docs).mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """Keys and compressed texts, which are what later steps shuffle."""
+def _compressed(docs: DataFrame) -> DataFrame:
+    """Ids and compressed texts, which are what later steps shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -114,13 +124,64 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
             for part in slices(batch["text"]):
                 body = part.data.tobytes()
                 texts = [pack(body[a:b]) for a, b in zip(part.starts[:-1], part.starts[1:], strict=True)]
-                own = batch.slice(part.first, part.last - part.first)
-                yield pa.RecordBatch.from_arrays([own["id"], own["sum"], pa.array(texts, pa.binary())], ["id", "sum", "packed"])
+                yield pa.RecordBatch.from_arrays([batch["id"][part.first : part.last], pa.array(texts, pa.binary())], ["id", "body"])
+
+    return _keyed(docs).mapInArrow(run, "id long, body binary")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], least: Callable[[pa.Table], bool]) -> Iterator[pa.Table]:
+    """Rows sorted by ``gram`` and ``part``, as tables that hold whole groups and satisfy ``least``, the last one aside."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 5_000):
+            held.append(batch.slice(at, 5_000))
+            table = pa.Table.from_batches(held)
+            if not least(table):
+                continue
+            gram, part = table["gram"].to_numpy(), table["part"].to_numpy()
+            # The last group may go on in the next batch.
+            done = int(np.count_nonzero((gram != gram[-1]) | (part != part[-1])))
+            if done:
+                yield table.slice(0, done)
+                held = table.slice(done).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
 
-    return _keyed(docs).mapInArrow(run, "id long, sum long, packed binary")
 
+_JUDGED = "gram long, part int, parts int, id long, packed long, repeated boolean"
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Compare anchors of one gram by their contexts' hashes.
+
+    ``repeated`` rows have the same context as an earlier one, so all their
+    strings are repeated. Of the others, those stay whose gram has another
+    context, here or in another part: some of their strings may be repeated.
+    """
 
-_CONTEXT = "gram long, part int, parts int, id long, sum long, first long, starts int, before int, body binary"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, lambda x: x.num_rows >= 100_000):
+            c = {name: table[name].to_numpy() for name in table.column_names}
+            before = c["packed"] & 0xFFFF
+            order = np.lexsort((c["packed"], c["id"], before, c["context"], c["part"], c["gram"]))
+            c = {name: values[order] for name, values in c.items()}
+            before = before[order]
+            group, same = np.zeros(len(order), bool), np.zeros(len(order), bool)
+            group[1:] = (c["gram"][1:] == c["gram"][:-1]) & (c["part"][1:] == c["part"][:-1])
+            same[1:] = group[1:] & (c["context"][1:] == c["context"][:-1]) & (before[1:] == before[:-1])
+            head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+            # A row that repeats a document is not later than itself.
+            repeated = (c["id"] != c["id"][head]) | (c["packed"] != c["packed"][head])
+            number = np.cumsum(~group) - 1
+            classes = np.bincount(number, weights=~same)[number]
+            chosen = repeated | (~same & ((classes > 1) | (c["parts"] > 1)))
+            own = [pa.array(c[name][chosen]) for name in ("gram", "part", "parts", "id", "packed")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(repeated[chosen])], [x.split()[0] for x in _JUDGED.split(", ")])
+
+    return rows.mapInArrow(run, _JUDGED)
+
+
+_CONTEXT = "gram long, part int, parts int, id long, packed long, context binary"
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
@@ -129,29 +190,29 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for row in batch.to_pylist():
-                text = unpack(row["packed"])
-                own = [x for x in row["anchors"] if x["last"] + length <= len(text)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([x["gram"] for x in own], pa.int64()),
-                        # A document's occurrences of one gram stay together.
-                        pa.array([row["id"] % x["parts"] for x in own], pa.int32()),
-                        pa.array([x["parts"] for x in own], pa.int32()),
-                        pa.array([row["id"]] * len(own), pa.int64()),
-                        pa.array([row["sum"]] * len(own), pa.int64()),
-                        pa.array([x["first"] for x in own], pa.int64()),
-                        pa.array([x["last"] - x["first"] + 1 for x in own], pa.int32()),
-                        pa.array([x["place"] - x["first"] for x in own], pa.int32()),
-                        pa.array([text[x["first"] : x["last"] + length] for x in own], pa.binary()),
-                    ],
-                    [x.split()[0] for x in _CONTEXT.split(", ")],
-                )
+            lists = batch["anchors"]
+            flat = lists.flatten()
+            counts = np.diff(np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1])
+            fields = [flat.field(name) for name in ("gram", "part", "parts")]
+            packed = flat.field("packed").to_numpy()
+            first, starts, _ = _unpacked(packed)
+            ends = first + starts - 1 + length
+            spans = zip(first.tolist(), ends.tolist(), strict=True)
+            bodies = []
+            for body, count in zip(batch["body"], counts.tolist(), strict=True):
+                text = unpack(body.as_py())
+                bodies += [text[a:b] for a, b in islice(spans, count)]
+            which = batch["id"].take(pa.array(np.repeat(np.arange(len(lists)), counts)))
+            made = pa.RecordBatch.from_arrays(
+                [*fields, which, pa.array(packed), pa.array(bodies, pa.binary())], [x.split()[0] for x in _CONTEXT.split(", ")]
+            )
+            # An id that repeats with another text gives contexts that are cut short.
+            yield made.filter(pa.array(np.array([len(x) for x in bodies], np.int64) == ends - first))
 
     return rows.mapInArrow(run, _CONTEXT)
 
 
-_FOUND = "id long, sum long, first long, last long, gram long, string long"
+_FOUND = "id long, first long, last long, gram long, string long"
 
 
 def _compared(contexts: DataFrame, length: int) -> DataFrame:
@@ -162,26 +223,8 @@ def _compared(contexts: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            # Slices keep a block near its size whatever the batches are.
-            for at in range(0, batch.num_rows, 2_000):
-                piece = batch.slice(at, 2_000)
-                held.append(piece)
-                size += piece["body"].nbytes
-                if size < BLOCK_BYTES:
-                    continue
-                table = pa.Table.from_batches(held)
-                gram, part = table["gram"].to_numpy(), table["part"].to_numpy()
-                # The last group may go on in the next batch.
-                done = int(np.flatnonzero((gram != gram[-1]) | (part != part[-1]))[-1]) + 1 if ((gram != gram[-1]) | (part != part[-1])).any() else 0
-                if done:
-                    yield from _block(table.slice(0, done), length)
-                held = table.slice(done).combine_chunks().to_batches()
-                size = sum(x["body"].nbytes for x in held)
-        if held:
-            yield from _block(pa.Table.from_batches(held), length)
+        for table in _whole_groups(batches, lambda x: x["context"].nbytes >= BLOCK_BYTES):
+            yield from _block(table, length)
 
     return contexts.mapInArrow(run, _FOUND)
 
@@ -189,91 +232,77 @@ def _compared(contexts: DataFrame, length: int) -> DataFrame:
 def _block(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     if not table.num_rows:
         return
-    columns = {name: table[name].to_numpy() for name in table.column_names if name != "body"}
-    order = np.lexsort((columns["first"], columns["id"]))
-    columns = {name: values[order] for name, values in columns.items()}
-    bodies = table["body"].to_pylist()
-    bodies = [bodies[i] for i in order]
-    # Equal contexts of one gram: the earliest stands for them, and all strings of later ones are repeated.
-    leader: dict[tuple, int] = {}
-    heads = np.array([leader.setdefault((g, b, body), i) for i, (g, b, body) in enumerate(zip(columns["gram"], columns["before"], bodies, strict=True))])
-    here = (columns["id"], columns["first"])
-    later = (here[0] != here[0][heads]) | (here[1] != here[1][heads])
-    copies = np.flatnonzero(later)
-    if len(copies):
-        yield _found(columns, copies, columns["first"][copies], columns["first"][copies] + columns["starts"][copies] - 1)
-    own = np.flatnonzero(~later)
-    text = np.frombuffer(b"".join(bodies[i] for i in own), np.uint8)
-    ends = np.cumsum([len(bodies[i]) for i in own])
-    starts = ends - np.array([len(bodies[i]) for i in own])
-    context = np.repeat(np.arange(len(own)), ends - starts)
-    offset = np.arange(len(text)) - starts[context]
-    valid = offset < columns["starts"][own][context]
+    ids, packed = table["id"].to_numpy(), table["packed"].to_numpy()
+    order = np.lexsort((packed, ids))
+    table = table.take(pa.array(order)).combine_chunks()
+    ids, gram, parts = (table[name].to_numpy() for name in ("id", "gram", "parts"))
+    first, count, _ = _unpacked(packed[order])
+    bodies = table["context"].to_pylist()
+    text = np.frombuffer(b"".join(bodies), np.uint8)
+    sizes = np.array([len(x) for x in bodies])
+    begins = np.cumsum(sizes) - sizes
+    context = np.repeat(np.arange(len(bodies)), sizes)
+    offset = np.arange(len(text)) - begins[context]
     suffixes = suffix_array(text, length)
     group = np.empty(len(text), np.int64)
     group[suffixes] = equal_runs(text, suffixes, length)
-    places = np.flatnonzero(valid)
+    places = np.flatnonzero(offset < count[context])
     # Contexts are in the order of the corpus, so the least place of a group is its earliest string.
     earliest = np.full(group.max() + 1, len(text), np.int64)
     np.minimum.at(earliest, group[places], places)
-    source = own[context]
-    at = columns["first"][source] + offset
+    at = first[context] + offset
     lead = earliest[group[places]]
-    repeated = (columns["id"][source[places]] != columns["id"][source[lead]]) | (at[places] != at[lead])
-    for chosen in _runs(places[repeated], context):
-        yield _found(columns, source[chosen[0]], at[chosen[0]], at[chosen[1]])
-    open_ = places[~repeated & (columns["parts"][source[places]] > 1)]
+    repeated = (ids[context[places]] != ids[context[lead]]) | (at[places] != at[lead])
+
+    def rows(low: np.ndarray, high: np.ndarray, strings: pa.Array) -> pa.RecordBatch:
+        own = context[low]
+        arrays = [pa.array(ids[own]), pa.array(at[low]), pa.array(at[high]), pa.array(gram[own]), strings]
+        return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in _FOUND.split(", ")])
+
+    again = places[repeated]
+    cut = np.ones(len(again), bool)
+    cut[1:] = (again[1:] != again[:-1] + 1) | (context[again[1:]] != context[again[:-1]])
+    starts = np.flatnonzero(cut)
+    if len(starts):
+        yield rows(again[starts], again[np.append(starts[1:], len(again)) - 1], pa.nulls(len(starts), pa.int64()))
+    open_ = places[~repeated & (parts[context[places]] > 1)]
     if len(open_):
         digests = span_hashes(prefix_sums(text), open_, open_ + length).view(np.int64)
-        yield _found(columns, source[open_], at[open_], at[open_], digests)
-
-
-def _runs(places: np.ndarray, context: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """First and last of neighbouring places within a context."""
-    if len(places):
-        cut = np.ones(len(places), bool)
-        cut[1:] = (places[1:] != places[:-1] + 1) | (context[places[1:]] != context[places[:-1]])
-        starts = np.flatnonzero(cut)
-        yield places[starts], places[np.append(starts[1:], len(places)) - 1]
-
-
-def _found(columns: dict, rows: np.ndarray, first: np.ndarray, last: np.ndarray, strings: np.ndarray | None = None) -> pa.RecordBatch:
-    arrays = [pa.array(columns[x][rows]) for x in ("id", "sum")] + [pa.array(first), pa.array(last), pa.array(columns["gram"][rows])]
-    arrays.append(pa.nulls(len(rows), pa.int64()) if strings is None else pa.array(strings))
-    return pa.RecordBatch.from_arrays(arrays, ["id", "sum", "first", "last", "gram", "string"])
+        yield rows(open_, open_, pa.array(digests))
 
 
 def repeated_starts(docs: DataFrame, work: Workspace, length: int = LENGTH) -> DataFrame:
-    """(id, sum, first, last): starts of strings of ``length`` bytes that occur earlier, as ranges.
+    """(id, first, last): starts of strings of ``length`` bytes that occur earlier, as ranges.
 
     Each string has an anchor, a gram that depends on the string alone. Strings
     whose anchors' grams occur once in the corpus are unique, and most of the
-    text leaves here. For the others the bytes around the anchors meet by gram,
-    and suffix arrays over blocks of them find the equal strings. The
+    text leaves here. Anchors of one gram whose contexts are equal throughout
+    need only their order. For what is left, the bytes of the contexts meet by
+    gram, and suffix arrays over blocks of them find the equal strings. The
     occurrences of a very common gram are dealt over several parts; the earliest
     string of each part then meets those of the other parts by digest.
     """
     counted = _all_anchors(docs, length, grams_only=True).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     counted = work.store(counted.select("gram", F.expr(f"CAST(ceil(n / {TOGETHER}) AS INT) AS parts")), "grams")
     shared = _all_anchors(docs, length, grams_only=False).join(counted, "gram")
-    per_doc = shared.groupBy("id", "sum").agg(F.collect_list(F.struct("gram", "parts", "place", "first", "last")).alias("anchors"))
-    texts = per_doc.join(_packed_texts(docs), ["id", "sum"])
-    dealt = _contexts(texts.select("id", "sum", "anchors", "packed"), length).repartition("gram", "part")
-    found = work.store(_compared(dealt.sortWithinPartitions("gram", "part"), length), "found")
-    open_ = found.where("string IS NOT NULL").select("id", "sum", "first", "gram", "string", _order().alias("place"))
+    shared = shared.withColumn("part", F.expr("CAST(pmod(xxhash64(id, packed), parts) AS INT)")).repartition("gram", "part")
+    judged = work.store(_judged(shared.sortWithinPartitions("gram", "part")), "judged")
+    per_doc = judged.where("NOT repeated").groupBy("id").agg(F.collect_list(F.struct("gram", "part", "parts", "packed")).alias("anchors"))
+    texts = per_doc.join(_compressed(docs), "id").select("id", "anchors", "body")
+    dealt = _contexts(texts, length).repartition("gram", "part").sortWithinPartitions("gram", "part")
+    found = work.store(_compared(dealt, length), "found")
+    place = (F.col("id").cast("decimal(20,0)") * F.lit(1 << 48).cast("decimal(17,0)") + F.col("first")).cast("decimal(38,0)")
+    open_ = found.where("string IS NOT NULL").select("id", "first", "gram", "string", place.alias("place"))
     least = open_.groupBy("gram", "string").agg(F.min("place").alias("least"))
-    across = open_.join(least, ["gram", "string"]).where("place > least").selectExpr("id", "sum", "first", "first AS last")
-    return found.where("string IS NULL").select("id", "sum", "first", "last").union(across)
-
-
-def _order():
-    return (F.col("id").cast("decimal(20,0)") * F.lit(1 << 40).cast("decimal(14,0)") + F.col("first")).cast("decimal(38,0)")
+    across = open_.join(least, ["gram", "string"]).where("place > least").selectExpr("id", "first", "first AS last")
+    same = judged.where("repeated").selectExpr("id", "shiftright(packed, 16) AS first", "shiftright(packed, 16) + (shiftright(packed, 8) & 255) AS last")
+    return same.union(found.where("string IS NULL").select("id", "first", "last")).union(across)
 
 
 def _merged(spans: list[dict], length: int, size: int) -> list[tuple[int, int]]:
     """Byte runs that strings starting in the given ranges cover."""
     out: list[tuple[int, int]] = []
-    for start, end in sorted((x["first"], min(x["last"] + length, size)) for x in spans):
+    for start, end in sorted((x["first"], min(x["last"] + length, size)) for x in spans if x["first"] < size):
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
@@ -287,20 +316,21 @@ def removed_substrings(docs: DataFrame, work: Workspace, length: int = LENGTH, k
     Texts are UTF-8 bytes, a null one being empty. A byte goes if a string of
     ``length`` bytes covers it that also starts earlier: in a document with a
     smaller id, or earlier in the same one; strings may overlap and never cross
-    documents. Rows without an id count as one that is smaller than all others;
-    repeated rows of an id are one document and lose the same bytes. Shorter
+    documents. Rows without an id count as one that is smaller than all others.
+    Repeated rows of an id are one document, whose first bytes they all keep; an
+    id should not repeat with different texts, which then share their removals. Shorter
     texts lose nothing. Other columns are ignored. Kept bytes need not be valid
     UTF-8, as a run may end inside a character.
     """
     starts = repeated_starts(docs, work, length)
-    per_doc = starts.groupBy("id", "sum").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = _packed_texts(docs).join(per_doc, ["id", "sum"], "left").select("id", "packed", "spans")
+    per_doc = starts.groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    joined = _compressed(docs).join(per_doc, "id", "left").select("id", "body", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out: dict[str, list] = {name: [] for name in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-            for row in zip(batch["id"].to_pylist(), batch["packed"], batch["spans"].to_pylist(), strict=True):
+            for row in zip(batch["id"].to_pylist(), batch["body"], batch["spans"].to_pylist(), strict=True):
                 text = unpack(row[1].as_py())
                 gone = _merged(row[2] or [], length, len(text))
                 edges = [0, *[edge for span in gone for edge in span], len(text)]
