@@ -20,10 +20,10 @@ from tripforge.session import Workspace
 LENGTH = 100
 #: Bytes of the grams among which each string has an anchor.
 GRAM = 24
-#: Occurrences of a gram that one task compares; the occurrences of a commoner gram are dealt over several.
-TOGETHER = 1000
 #: Bytes of contexts that are suffix-sorted together.
 BLOCK_BYTES = 1 << 20
+#: Occurrences of a gram that one block compares; those of a commoner gram are dealt over several parts.
+TOGETHER = BLOCK_BYTES // (LENGTH + GRAM)
 
 _PLACE_BITS = U64(24)
 _NO_ID = -(1 << 63)
