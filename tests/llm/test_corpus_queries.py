@@ -1,0 +1,55 @@
+"""Corpus queries against their SQL, and the pipeline against its stages restated."""
+
+import hashlib
+
+import corpus_brute as brute
+import pytest
+
+import corpus_pipeline
+from tripforge.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) & set(QUERIES)))
+def test_matches_sql(spark, small_tables, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{small_tables}/documents.parquet'")
+    want = con.sql(ORACLES[name])
+    got = QUERIES[name](spark, small_tables)
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    rows = sorted(tuple(str(r[c]) for c in columns) for r in got.collect())
+    assert rows == sorted(tuple(map(str, r)) for r in want.project(", ".join(columns)).fetchall())
+
+
+def test_removed_substrings_match_brute_force(spark, small_tables):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small_tables}/documents.parquet").collect()]
+    got = {r[0]: tuple(r)[1:] for r in QUERIES["op10_suffix_dedup"](spark, small_tables).collect()}
+    assert got == brute.removed(docs)
+
+
+def test_secrets_match_brute_force(spark, small_tables):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small_tables}/documents.parquet").collect()}
+    for r in QUERIES["op7_secret_scan"](spark, small_tables).collect():
+        assert r.base_sha256 == hashlib.sha256(brute.secret_base(docs[r.doc_id]).encode()).hexdigest()
+
+
+def test_pipeline(spark, small_tables):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet")
+    by_id = {r.doc_id: r.text for r in docs.collect()}
+    good = {r.doc_id for r in QUERIES["op2_quality_rules"](spark, small_tables).where("kept").collect()}
+    largest = {}
+    for key in good:
+        text = by_id[key].encode().lower()
+        largest[text] = max(key, largest.get(text, key))
+    roots = brute.components({key: brute.shingle_set(by_id[key]) for key in largest.values()})
+    left = {key for key, root in roots.items() if key == root}
+    copies = {(r.doc_id): 0 for r in docs.collect()}
+    mixed = corpus_pipeline.mix_sources(spark, docs.where(docs.doc_id.isin(list(left))), small_tables)
+    for r in mixed.collect():
+        copies[r.doc_id] += 1
+    got = corpus_pipeline.run(spark, small_tables).collect()
+    assert sorted(r.doc_id for r in got) == sorted(key for key, n in copies.items() for _ in range(n))
+    for r in got:
+        assert r.decoded_sha256 == hashlib.sha256(by_id[r.doc_id].encode()).hexdigest() and len(r.ids) == r.n_tokens

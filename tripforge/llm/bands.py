@@ -53,6 +53,13 @@ def linked(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(f"100L * shared >= {percent}L * (size_a + size_b - shared)")
 
 
+def _common_sizes(items: DataFrame, sets: DataFrame) -> DataFrame:
+    """(item, common): how many values of each item's set are in the set of another of these items."""
+    values = sets.join(items, "item").select("item", F.explode("values").alias("value"))
+    several = values.groupBy("value").agg(F.min("item").alias("_low"), F.max("item").alias("_high")).where("_low < _high")
+    return values.join(several.select("value"), "value", "left_semi").groupBy("item").agg(F.count("*").alias("common"))
+
+
 def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Workspace, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Components of items linked by exact similarity: ``(roots, links)``.
 
@@ -66,12 +73,14 @@ def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Wo
     bucket. Items that are in another component meet all others of the bucket,
     but for pairs that distances to the pivot rule out: Jaccard distance is a
     metric, so two items whose distances to it differ by more than the threshold
-    allows are farther apart than that.
+    allows are farther apart than that. And an intersection holds no more than
+    either item shares with the pivot, plus what either has beside the pivot and
+    in common with any other of these items: edited copies of one text leave
+    here unless their edits may agree.
     """
     entries = items.select("item", "size", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.min("item").alias("pivot"), F.max("item").alias("top")).where("pivot < top")
     buckets = work.store(entries.join(shared.select("band", "pivot"), "band").distinct(), "buckets")
-    fits = f"100L * least(size_a, size_b) >= {percent}L * greatest(size_a, size_b)"
 
     stars = buckets.where("item <> pivot").select(F.col("pivot").alias("a"), F.col("item").alias("b")).distinct()
     stars = work.store(stars, "star-pairs")
@@ -84,19 +93,25 @@ def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Wo
     # Items of a bucket that aren't in the component of its pivot.
     labelled = buckets.join(roots.selectExpr("node AS item", "root"), "item", "left").withColumn("root", F.coalesce("root", "item"))
     tops = roots.selectExpr("node AS pivot", "root AS top")
-    labelled = labelled.join(tops, "pivot", "left").withColumn("top", F.coalesce("top", "pivot"))
+    labelled = labelled.where("item <> pivot").join(tops, "pivot", "left").withColumn("top", F.coalesce("top", "pivot"))
     distance = "1 - shared / (size_a + size_b - shared)"
-    labelled = labelled.join(known.selectExpr("a AS pivot", "b AS item", f"{distance} AS far"), ["pivot", "item"], "left")
-    labelled = labelled.withColumn("far", F.coalesce("far", F.lit(0.0)))
-    outside = labelled.where("root <> top AND item <> pivot")
+    labelled = labelled.join(known.selectExpr("a AS pivot", "b AS item", "shared AS near", f"{distance} AS far"), ["pivot", "item"])
+    outside = labelled.where("root <> top")
     open_bands = outside.select("band").distinct()
-    labelled = work.store(labelled.join(open_bands, "band", "left_semi").where("item <> pivot"), "labelled")
-    one = labelled.where("root <> top").selectExpr("band", "item AS a", "size AS size_a", "root AS root_a", "far AS far_a")
-    two = labelled.selectExpr("band", "item AS b", "size AS size_b", "root AS root_b", "far AS far_b", "root <> top AS out_b")
+    labelled = work.store(labelled.join(open_bands, "band", "left_semi"), "labelled")
+    members = labelled.select("item").union(labelled.select(F.col("pivot").alias("item"))).distinct()
+    common = work.store(_common_sizes(members, sets), "common")
+    labelled = labelled.join(common, "item").where(f"100L * common >= {percent}L * size")
+    one = labelled.where("root <> top").selectExpr("band", "item AS a", "size AS size_a", "near AS near_a", "common - near AS other_a", "root AS root_a", "far AS far_a")
+    two = labelled.selectExpr(
+        "band", "item AS b", "size AS size_b", "near AS near_b", "common - near AS other_b", "root AS root_b", "far AS far_b", "root <> top AS out_b"
+    )
     slack = 1 - percent / 100 + 1e-9
+    most = "(least(near_a, near_b) + least(other_a, other_b))"
     rest = (
         one.join(two, "band")
-        .where(f"root_a <> root_b AND (NOT out_b OR a < b) AND abs(far_a - far_b) <= {slack} AND {fits}")
+        .where(f"root_a <> root_b AND (NOT out_b OR a < b) AND abs(far_a - far_b) <= {slack}")
+        .where(f"100L * {most} >= {percent}L * (size_a + size_b - {most})")
         .selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
         .distinct()
     )
