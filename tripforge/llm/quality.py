@@ -92,7 +92,9 @@ def measured(docs: DataFrame) -> DataFrame:
         f"aggregate(_repeated, struct(0L AS n, -{WINDOW} AS last), "
         f"(a, i) -> struct(a.n + least({WINDOW}, i - a.last) AS n, i AS last), a -> a.n)"
     )
-    step = step.select(*own, *counts, F.expr(f"coalesce({covered}, 0L)").alias("n_repeat_words"))
+    # Out of a generator, so that no filter on a count is moved below it and into the lambdas.
+    values = F.array(F.struct(*counts, F.expr(f"coalesce({covered}, 0L)").alias("n_repeat_words")))
+    step = step.select(*own, F.inline(values))
     return step.withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
