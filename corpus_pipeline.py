@@ -16,8 +16,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the thresholds of their language and source accept."""
-    texts = Workspace(spark, "quality").store(quality.measured(docs), "measured")
-    return quality.quality(texts).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text", "lang", "source")
+    texts = Workspace(spark, "quality").store(quality.measured(rows).drop("text"), "measured")
+    return quality.quality(texts).where("kept").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,21 +26,22 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(exact.by_age(docs), Workspace(spark, "exact"))
     kept = groups.where("kept").select(F.col("doc_id").alias("_id"), "text_sha256").distinct()
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    keyed = docs.withColumn("_digest", F.sha2(lowered.cast("binary"), 256))
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.sha2(lowered.cast("binary"), 256).alias("_digest"))
     same = (F.col("_digest") == F.col("text_sha256")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     found = neardup.near_duplicates(docs, Workspace(spark, "near"))
     kept = found.where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks for, in a global shuffle."""
-    return mixing.mixed_copies(docs).select(*docs.columns)
+    return mixing.drawn_copies(docs).select("row.*")
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

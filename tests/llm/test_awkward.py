@@ -73,9 +73,9 @@ def test_mixing_covers_null_sources_and_repeated_rows(awkward, nothing, spark):
 @pytest.mark.parametrize("number", range(5))
 def test_stages(spark, awkward, nothing, number):
     name, stage = corpus_pipeline.STAGES[number]
-    docs = awkward.drop("band", "copy", "_key")
+    docs = awkward.withColumnRenamed("band", "kept")
     rows = stage(spark, docs, "")
     if number < 4:
         assert rows.columns == docs.columns
     assert rows.count() > 0 or number == 0
-    assert stage(spark, nothing.select(docs.columns), "").count() == 0
+    assert stage(spark, nothing.withColumnRenamed("band", "kept"), "").count() == 0

@@ -45,13 +45,13 @@ def rates(docs: DataFrame, weights: DataFrame, epochs: float = 1.0) -> DataFrame
     return parts.select("source", "rate", "draws", F.expr(cdf).alias("cdf"))
 
 
-def mixed_copies(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
-    """Each document as often as its Poisson draw says, in a global shuffle.
+def drawn_copies(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
+    """(row, copy, shuffle_key): each document, whole, as often as its Poisson draw says, in a global shuffle.
 
     The draw inverts the distribution at a number hashed from seed and id, so a
-    rerun or another table with the same rates repeats the same documents. Adds
-    ``copy`` (from 1) and ``shuffle_key``; a document drawn 0 times is left out,
-    which is how a source shrinks. Null sources are one source, a null id counts
+    rerun or another table with the same rates repeats the same documents.
+    ``copy`` counts from 1; a document drawn 0 times is left out, which is how a
+    source shrinks. Null sources are one source, a null id counts
     as the empty key, and repeated rows are drawn alike.
 
     Rows are dealt by ``shuffle_key``, a hash of seed, id and copy, and ordered
@@ -60,10 +60,16 @@ def mixed_copies(docs: DataFrame, weights: DataFrame | None = None, epochs: floa
     weights = target_weights(docs) if weights is None else weights
     known = rates(docs, weights, epochs).withColumnRenamed("source", "_source")
     key = F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    drawn = docs.withColumn("_key", key).join(known, F.col("source").eqNullSafe(F.col("_source")))
+    drawn = docs.select(F.struct("*").alias("row"), "source", key.alias("_key")).join(known, F.col("source").eqNullSafe(F.col("_source")))
     number = f"CAST(conv(substring(md5(concat(_key, '/draw/', j)), 1, {_BITS // 4}), 16, 10) AS DOUBLE) / {float(1 << _BITS)}D"
     copies = f"aggregate(sequence(1, draws), 0, (n, j) -> n + size(filter(cdf, c -> c <= {number})))"
     drawn = drawn.withColumn("_copies", F.expr(copies)).where("_copies > 0")
-    copied = drawn.select(*docs.columns, "_key", F.expr("explode(sequence(1, _copies)) AS copy"))
-    keyed = copied.select(*docs.columns, "copy", F.expr("md5(concat(_key, '/copy/', copy))").alias("shuffle_key"))
+    copied = drawn.select("row", "_key", F.expr("explode(sequence(1, _copies)) AS copy"))
+    keyed = copied.select("row", "copy", F.expr("md5(concat(_key, '/copy/', copy))").alias("shuffle_key"))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def mixed_copies(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
+    """``drawn_copies`` with the documents' columns beside ``copy`` and ``shuffle_key``, which replace columns so named."""
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("copy", "shuffle_key")]
+    return drawn_copies(docs, weights, epochs, seed).select(*own, "copy", "shuffle_key")
