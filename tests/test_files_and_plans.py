@@ -175,3 +175,9 @@ def test_one_shuffle_to_valid_trips(spark, small_tables):
 def test_top_values_are_cut_before_the_second_shuffle(spark, small_tables):
     plan = plan_text(value_counts(driver_tables.trips(spark, small_tables)))
     assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning(column")[1]
+
+
+def test_a_drift_sample_needs_a_key(spark):
+    table = spark.range(3)
+    with pytest.raises(ValueError, match="key"):
+        reports.drift_tables(table, table, sample_size=2)

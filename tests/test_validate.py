@@ -101,3 +101,12 @@ def test_shorter_layout(spark):
     validate.require_columns(raw, MINIMAL_TRIP_COLUMNS)
     with pytest.raises(InvalidTable, match="passenger_count"):
         validate.require_columns(raw.drop("passenger_count"), MINIMAL_TRIP_COLUMNS)
+
+
+def test_type_suffixes_and_hexadecimal_text_are_no_numbers(spark):
+    from tripforge.functions.coerce import number
+
+    texts = ["1d", "5F", "0x1p3", " 2.5 ", "-1e3", ".5", "7.", "Infinity", "-inf", "NaN", "", "x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.select(number(df, "t").alias("v"), "i").orderBy("i").collect()]
+    assert got == [None, None, None, 2.5, -1000.0, 0.5, 7.0, float("inf"), float("-inf"), None, None, None]

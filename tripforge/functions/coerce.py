@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
+
 
 def number(df: DataFrame, column: str) -> Column:
     """``column`` as a number. Text that is no number, and NaN, become NULL."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
-        value = F.col(column).try_cast("double")
+        # The cast alone also takes type suffixes (1d, 5F) and hexadecimal floats, which are no numbers in a CSV file.
+        value = F.when(F.col(column).rlike(_NUMBER), F.col(column).try_cast("double"))
     elif isinstance(kind, T.BooleanType):
         return F.col(column).cast("double")
     elif isinstance(kind, (T.DoubleType, T.FloatType)):

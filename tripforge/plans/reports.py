@@ -66,8 +66,10 @@ def drift_tables(
     seed: int = 42,
     threshold: float = drift.THRESHOLD,
 ) -> tuple[DataFrame, DataFrame]:
-    """Drift report and metrics of two tables, or of equal-sized samples of them."""
-    if key is not None and sample_size is not None:
+    """Drift report and metrics of two tables, or of equal-sized samples of them, which are drawn by ``key``."""
+    if sample_size is not None and key is None:
+        raise ValueError("a sample needs the key that it is drawn by")
+    if sample_size is not None:
         reference = sample_rows(reference, key, sample_size, seed)
         current = sample_rows(current, key, sample_size, seed)
     metrics = drift.drift_metrics(reference, current, threshold=threshold)
