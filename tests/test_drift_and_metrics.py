@@ -119,3 +119,20 @@ def test_alignment_is_by_key(spark):
     left = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "id string, actual double")
     right = spark.createDataFrame([("b", 20.0), ("a", 10.0)], "id string, predicted double")
     assert {r["id"]: r["predicted"] for r in metrics.aligned(left, right).collect()} == {"a": 10.0, "b": 20.0}
+
+
+def test_largest_errors_meet_their_features_without_a_shuffle_of_these(spark, tmp_path):
+    predictions = pairs(spark, [("a", 1.0, 2.0), ("b", 9.0, 3.0), ("c", 5.0, 4.0)])
+    spark.createDataFrame([("a", 10), ("b", 20), ("c", 30)], "id string, x int").write.parquet(str(tmp_path / "f"))
+    features = spark.read.parquet(str(tmp_path / "f"))
+    found = metrics.largest_errors_with_features(features, predictions, 2)
+    assert [(r["id"], r["x"], r["absolute_error"]) for r in found.collect()] == [("b", 20, 6.0), ("a", 10, 1.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(id" not in plan
+
+
+def test_largest_errors_refuse_repeated_keys(spark):
+    predictions = pairs(spark, [("a", 1.0, 2.0), ("a", 9.0, 3.0)])
+    features = spark.createDataFrame([("a", 10), ("a", 20)], "id string, x int")
+    with pytest.raises(ValueError, match="share a value of id"):
+        metrics.largest_errors_with_features(features, predictions)

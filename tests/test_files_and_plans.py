@@ -181,3 +181,22 @@ def test_a_drift_sample_needs_a_key(spark):
     table = spark.range(3)
     with pytest.raises(ValueError, match="key"):
         reports.drift_tables(table, table, sample_size=2)
+
+
+def test_markers_of_missing_values(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\nNA,1\nnull,\nN/A,NaN\nNo,nan \n")
+    rows = files.read_text_table(spark, str(tmp_path / "t.csv")).collect()
+    assert [tuple(r) for r in rows] == [(None, "1"), (None, None), (None, None), ("No", "nan ")]
+
+
+def test_files_with_another_order_of_columns_fail(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text("id,trip_duration\nt1,900\n")
+    (tmp_path / "t" / "b.csv").write_text("trip_duration,id\n800,t2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_text_table(spark, str(tmp_path / "t")).collect()
+
+
+def test_nothing_valid_to_prepare(spark):
+    with pytest.raises(ValueError, match="no valid trip"):
+        preparation.prepare(trip_table(spark, trip(trip_duration="-1")))

@@ -116,3 +116,9 @@ def test_counts_and_shape(table):
     assert profile.first_rows(df).count() == 5
     assert profile.text_columns(df) == ["flag"]
     assert dict(profile.column_types(df))["flag"] == "string"
+
+
+def test_histogram_refuses_infinite_values(spark):
+    df = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,)], "x double")
+    with pytest.raises(ValueError, match="infinite"):
+        profile.histogram(df, "x")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -227,6 +228,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50, upper_prob: float = 0.
         raise ValueError(f"{column} has no value")
     usual = df.selectExpr(f"{sql.plain_number(df, column)} AS v").filter(F.col("v") <= F.lit(limits[1]))
     low, high = usual.agg(F.min("v"), F.max("v")).first()
+    if math.isinf(low) or math.isinf(high):
+        raise ValueError(f"{column} has infinite values, which fit no bin")
     if low == high:
         low, high = low - 0.5, high + 0.5
     place = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")

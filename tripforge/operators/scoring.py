@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripforge.functions.calendar import is_weekend, rush_hour
 from tripforge.functions.measures import any_present, clamped_seconds, level_indicator, rounded_minutes
@@ -35,7 +36,9 @@ def _rules() -> dict[str, Column]:
 
 
 def checked_requests(requests: DataFrame) -> DataFrame:
-    """Requests with ``_errors``: the fields out of range, in the order of their names."""
+    """Requests with ``_errors``: the fields out of range, in the order of their names. NaN weather counts as missing."""
+    floats = [c for c in WEATHER_MEASURES if isinstance(requests.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    requests = requests.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
     failed = [
         F.when(~F.coalesce(valid, F.lit(False)), F.lit(field)) for field, valid in sorted(_rules().items())
     ]

@@ -55,9 +55,12 @@ def prepare(
     """Validate, enrich, trim, fit and transform.
 
     ``fit_on="train"`` learns the preprocessor from training rows only, so no test
-    row leaks into it; ``fit_on="all"`` learns from every row.
+    row leaks into it; ``fit_on="all"`` learns from every row. Raises where no row
+    is valid, as nothing could be learned.
     """
     usable = usable_trips(raw, weather)
+    if usable.isEmpty():
+        raise ValueError("no valid trip is left")
     trips, fences = trimmed_trips(usable)
     target = target_column(trips)
     inputs = trips.select(key, *NUMERIC_INPUTS, *CATEGORY_LEVELS, *([target] if target else []))

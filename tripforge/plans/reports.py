@@ -36,7 +36,7 @@ def exploratory_report(raw: DataFrame) -> dict[str, DataFrame]:
         "duplicates": duplicate_count(raw),
         "missing_values": profile.missing_summary(raw),
         "numeric_summary": profile.describe(trips.select(*[c for c in NUMBER_COLUMNS if c in trips.columns])),
-        "value_counts": profile.value_counts(raw),
+        "value_counts": profile.value_counts(trips),
         "invalid_timestamps": profile.missing_times(trips),
         "trips_by_hour": profile.counts_by(trips, "pickup_hour"),
         "trips_by_weekday": profile.counts_by_weekday(trips),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripforge.operators.validate import CheckedTrips, check_trips, require_columns
 from tripforge.schema import FEATURE_COLUMNS, FEATURE_DESCRIPTIONS, METADATA_SCHEMA, TARGET, TRIP_COLUMNS, text_schema
@@ -15,10 +16,39 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
+# What a CSV field may hold in place of a missing value.
+MISSING_MARKERS = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
+
+
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV table with every column as text, in the order of its own header."""
+    """A CSV table with every column as text, in the order of its own header.
+
+    Fields that hold a marker of a missing value are NULL. Files of one folder
+    must share their header; another order of columns fails when it is read.
+    """
     schema = text_schema(csv_columns(spark, path))
-    return spark.read.schema(schema).option("header", True).csv(path)
+    table = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return table.select(*[F.when(~F.col(c).isin(*MISSING_MARKERS), F.col(c)).alias(c) for c in table.columns])
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
