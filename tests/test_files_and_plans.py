@@ -2,6 +2,7 @@ import hashlib
 import json
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from plans import plan_text
 from pyspark.sql import functions as F
@@ -132,9 +133,20 @@ def test_manifest(spark, tmp_path):
         assert row["sha256"] == hashlib.sha256(content).hexdigest()
         assert row["bytes"] == len(content)
         assert row["columns"] == TRIP_COLUMNS and row["table_rows"] == 2
-    in_blocks = manifest.file_hashes(spark, str(folder), whole_file_bytes=0).collect()
-    whole = manifest.file_hashes(spark, str(folder)).collect()
-    assert {(r["file"], r["sha256"]) for r in in_blocks} == {(r["file"], r["sha256"]) for r in whole}
+
+
+def test_files_are_hashed_in_blocks_whatever_their_length_and_name(spark, tmp_path):
+    contents = {"empty.csv": b"", "a b%20é.csv": b"x" * 10, "long one.csv": bytes(range(256)) * 40}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    rows = manifest.file_hashes(spark, str(tmp_path), block_bytes=64).collect()
+    assert {(r["bytes"], r["sha256"]) for r in rows} == {(len(c), hashlib.sha256(c).hexdigest()) for c in contents.values() if c}
+
+
+def test_a_scheme_that_cannot_be_streamed_is_named():
+    hasher = manifest._block_hasher(64)
+    with pytest.raises(ValueError, match="no reader for the scheme of odd://x/y"):
+        list(hasher([pd.DataFrame({"file": ["odd://x/y"], "bytes": [1]})]))
 
 
 def test_fingerprint_ignores_order(spark):
@@ -157,7 +169,7 @@ def test_intermediate_tables_go_to_the_named_folder(spark):
 def test_cluster_settings_follow_the_input():
     assert cluster_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_settings(10**13)["spark.sql.shuffle.partitions"] == "37253"
-    assert cluster_settings(10**14)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_settings(10**14)["spark.sql.shuffle.partitions"] == "372530"
 
 
 def test_text_is_parsed_once(spark, tmp_path):

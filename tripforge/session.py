@@ -21,7 +21,6 @@ SETTINGS = {
 
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000  # more would cost more in bookkeeping than spilling does
 
 
 def cluster_settings(input_bytes: int) -> dict[str, str]:
@@ -30,8 +29,7 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
     Full-row distinct shuffles the whole table, so partitions are sized from it;
     adaptive execution merges those that turn out small.
     """
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    partitions = max(200, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    partitions = max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
     return {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(partitions),

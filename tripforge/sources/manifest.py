@@ -7,25 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Files up to this size are hashed as one value; longer ones are read in blocks.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
 
 
-def _block_hasher(block_bytes: int = BLOCK_BYTES) -> Callable:
+def _block_hasher(block_bytes: int) -> Callable:
     """A function that travels to executors by value, so they need not have this package."""
 
     def hash_in_blocks(batches):
         import hashlib
+        from urllib.parse import quote
 
+        import pyarrow as pa
         from pyarrow import fs
 
+        def opened(name):
+            scheme, _, rest = name.partition(":")
+            if scheme == "file":
+                return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+            try:
+                system, path = fs.FileSystem.from_uri(quote(name.replace("s3a://", "s3://", 1), safe=":/@"))
+            except pa.ArrowInvalid as unknown:
+                raise ValueError(f"no reader for the scheme of {name}; use file, hdfs, s3a, gs or abfs") from unknown
+            return system.open_input_stream(path)
+
         for batch in batches:
             digests = []
-            for uri in batch["file"]:
-                system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
+            for name in batch["file"]:
                 digest = hashlib.sha256()
-                with system.open_input_stream(path) as stream:
+                with opened(name) as stream:
                     while block := stream.read(block_bytes):
                         digest.update(block)
                 digests.append(digest.hexdigest())
@@ -34,25 +43,19 @@ def _block_hasher(block_bytes: int = BLOCK_BYTES) -> Callable:
     return hash_in_blocks
 
 
-def file_hashes(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def file_hashes(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per file: name, size and SHA-256 of the content.
 
-    Listing reads no content. Short files are hashed in the JVM; a long file,
-    which may exceed the largest value Spark can hold, streams through a task
-    in blocks, so memory does not grow with it.
+    Listing reads no content. Every file, whatever its length, streams through a
+    task in blocks, so memory does not grow with it; a scheme that can't be
+    streamed raises. Spark's listing leaves out empty files, so they have no row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    named = files.withColumnsRenamed({"path": "file", "length": "bytes"})
-    short = named.filter(F.col("bytes") <= whole_file_bytes).select(
-        "file", "bytes", F.sha2("content", 256).alias("sha256")
-    )
-    long = (
-        named.filter(F.col("bytes") > whole_file_bytes)
-        .select("file", "bytes")
+    return (
+        files.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
         .repartition("file")
-        .mapInPandas(_block_hasher(), "file string, bytes bigint, sha256 string")
+        .mapInPandas(_block_hasher(block_bytes), "file string, bytes bigint, sha256 string")
     )
-    return short.unionByName(long)
 
 
 def row_fingerprint(df: DataFrame) -> DataFrame:
