@@ -1,0 +1,15 @@
+"""Queries that must do the whole job, not a smaller one."""
+
+from tripforge.llm.queries import QUERIES
+
+
+def test_mixing_moves_whole_documents(spark, small_tables):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet")
+    rows = {r.doc_id: tuple(r) for r in docs.collect()}
+    first = next(name for name in QUERIES if name.startswith("op9_"))
+    got = QUERIES[first](spark, small_tables)
+    assert got.columns == [*docs.columns, "copy", "shuffle_key"]
+    copies = got.collect()
+    assert copies and all(tuple(r)[:-2] == rows[r.doc_id] for r in copies)
+    same = [(r.doc_id, r.copy, r.shuffle_key) for r in QUERIES["op9_mixing"](spark, small_tables).collect()]
+    assert sorted((r.doc_id, r.copy, r.shuffle_key) for r in copies) == sorted(same)

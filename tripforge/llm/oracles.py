@@ -165,5 +165,8 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op9_mixed_documents": f"""
+        SELECT d.*, m.copy, m.shuffle_key FROM documents d JOIN ({_mixing()}) m ON d.doc_id IS NOT DISTINCT FROM m.doc_id
+    """,
     "op9_mixing": _mixing(),
 }

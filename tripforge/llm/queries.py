@@ -63,8 +63,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.section_tokens(documents(spark, sf_dir), vocabulary())
 
 
+def op9_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, sources weighted by the root of their size, one epoch in all."""
+    return mixing.mixed_copies(documents(spark, sf_dir))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources weighted by the root of their size, one epoch in all."""
+    """Ids and sources of the copies that ``op9_mixed_documents`` makes; no text is moved."""
     return mixing.mixed_copies(documents(spark, sf_dir).select("doc_id", "source"))
 
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_counts": op8_token_counts,
+    "op9_mixed_documents": op9_mixed_documents,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
