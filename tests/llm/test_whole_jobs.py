@@ -1,5 +1,11 @@
 """Queries that must do the whole job, not a smaller one."""
 
+import random
+
+import numpy as np
+
+from tripforge.llm import paragraphs
+from tripforge.llm.flat import U64, mixed
 from tripforge.llm.queries import QUERIES
 
 
@@ -13,3 +19,58 @@ def test_mixing_moves_whole_documents(spark, small_tables):
     assert copies and all(tuple(r)[:-2] == rows[r.doc_id] for r in copies)
     same = [(r.doc_id, r.copy, r.shuffle_key) for r in QUERIES["op9_mixing"](spark, small_tables).collect()]
     assert sorted((r.doc_id, r.copy, r.shuffle_key) for r in copies) == sorted(same)
+
+
+def test_passages_inside_longer_and_wrapped_lines(spark, work):
+    draw = random.Random(3)
+    text = lambda n: [f"w{draw.randrange(5000)}" for _ in range(n)]
+    passage = text(60)
+    wrapped = "\n".join(" ".join(passage[i : i + 9]) for i in range(0, 60, 9))
+    rows = [
+        (1, " ".join(text(30) + passage + text(41))),
+        (2, "é " + " ".join(text(50) + passage + text(17)) + "\nand a short line"),
+        (3, " ".join(text(33)) + "\n" + "\n".join(" ".join(text(8)) for _ in range(5)) + "\n" + wrapped + " " + " ".join(text(30))),
+        (4, " ".join(text(40)) + "\n" + wrapped),
+        (5, " ".join(text(200))),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = work.store(paragraphs.removal_counts(docs, work), "counts")
+    left = {r.doc_id: r.text.split() for r in paragraphs.without_repeats(docs, counts).collect()}
+    for key, whole in rows:
+        rest = iter(left[key])
+        gone, word = [], next(rest, None)
+        for x in whole.split():
+            if x == word:
+                word = next(rest, None)
+            else:
+                gone.append(x)
+        assert word is None
+        assert (len(gone) >= 25) == (key in (2, 3, 4)), (key, len(gone))
+        assert set(gone) <= set(passage)
+
+
+def test_joined_short_lines_are_near_copies_of_a_long_one(spark, work):
+    draw = random.Random(4)
+    base = [f"w{draw.randrange(5000)}" for _ in range(60)]
+    other = list(base)
+    other[30] = "changed"
+    wrapped = "\n".join(" ".join(other[i : i + 9]) for i in range(0, 60, 9))
+    rows = [(1, " ".join(base)), (2, "title\n\n" + wrapped + "\n\nend")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in paragraphs.removal_counts(docs, work).collect()}
+    assert found[1].n_removed == 0 and found[2].removed_lines == list(range(2, 9))
+
+
+def test_windows_of_shared_words_are_shared():
+    draw = np.random.default_rng(2)
+    for size in (50, 60, 90):
+        for _ in range(50):
+            same = mixed(draw.integers(0, 300, size).astype(U64))
+            both = [np.concatenate((mixed(draw.integers(400, 700, n).astype(U64)), same, mixed(draw.integers(400, 700, m).astype(U64)))) for n, m in draw.integers(0, 80, (2, 2))]
+            owner = np.repeat([0, 1], [len(x) for x in both])
+            at, made = paragraphs.window_starts(np.concatenate(both), owner, 2)
+            assert set(made[owner[at] == 0]) & set(made[owner[at] == 1])
+    alone, made = paragraphs.window_starts(np.full(1000, 7, U64), np.zeros(1000, np.int64), 1)
+    assert len(set(made)) == 1 and len(alone) < 100
+    assert alone[0] < paragraphs.PLACES
+    assert set(range(alone[0], 1000)) == {i for a in alone for i in range(a, a + 25)}
