@@ -48,12 +48,12 @@ def class_of(text: str) -> str:
     return next((name for name, pattern in _CLASSES if pattern.fullmatch(text)), "base64")
 
 
-def dense_spans(text: str) -> list[tuple[int, int]]:
-    """Maximal unions of overlapping windows whose Shannon entropy reaches the bar of the text's class.
+def dense_spans(text: str, bar: float | None = None) -> list[tuple[int, int]]:
+    """Maximal unions of overlapping windows whose Shannon entropy reaches ``bar``, or else that of the text's class.
 
     A step of the window changes two counts, and so two terms of the sum.
     """
-    bar = MIN_BITS[class_of(text)]
+    bar = MIN_BITS[class_of(text)] if bar is None else bar
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for end, entering in enumerate(text, 1):
@@ -96,9 +96,11 @@ def text_spans(text: str, hex_runs: list[tuple[int, int]], candidates: list[tupl
     for a, b in candidates:
         if allowed.fullmatch(text[a:b]):
             continue
-        for start, end in dense_spans(text[a:b]):
-            if all(end + a <= x[0] or start + a >= x[1] for x in base):
-                found.append((a + start, a + end, 3))
+        bar, at = MIN_BITS[class_of(text[a:b])], a
+        for start, end in [*((x[0], x[1]) for x in base if x[0] < b and x[1] > a), (b, b)]:
+            if start - at >= WINDOW:
+                found += [(at + x, at + y, 3) for x, y in dense_spans(text[at:start], bar)]
+            at = max(at, end)
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
@@ -110,8 +112,8 @@ def secret_spans(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFra
     """One row per document: counts of the base kinds, a digest of the base spans, and all spans.
 
     A pattern's span is its whole match. ``entropy`` spans are added where a
-    string of 20 or more letters, digits and ``+/=_-`` has a dense window, isn't
-    on the allow list and touches no base span. A null or empty text has no
+    string of 20 or more letters, digits and ``+/=_-`` isn't on the allow list and
+    has a dense window beside its base spans. A null or empty text has no
     spans. Other columns are ignored and repeated rows are scanned alike. The
     operator works row by row, so nothing is shuffled.
     """
