@@ -14,7 +14,8 @@ def test_matches_sql(spark, small_tables, name):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{small_tables}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{small_tables}/{table}.parquet'")
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, small_tables)
     columns = sorted(got.columns)

@@ -153,6 +153,100 @@ def _mixing() -> str:
     """
 
 
+def _crc32(octets: str) -> str:
+    """Unsigned CRC-32 of a list of bytes, by a table ``crc`` of 256 entries in scope."""
+    return f"xor(list_reduce({octets}, lambda c, x: xor(c >> 8, crc[xor(c, x) % 256 + 1]), 4294967295), 4294967295)"
+
+
+def _tree(name: str, base: str, levels: int) -> str:
+    """CTEs that build trees over ``base`` (tree, place, digest): nodes per level, and each leaf's siblings and root."""
+    ctes = [f"{name}0 AS (SELECT tree, place, digest, count(*) OVER (PARTITION BY tree) AS size FROM {base})"]
+    for k in range(levels):
+        ctes.append(
+            f"{name}{k + 1} AS (SELECT tree, place // 8 AS place, sha256(string_agg(digest, '' ORDER BY place)) AS digest, "
+            f"(any_value(size) + 7) // 8 AS size FROM {name}{k} WHERE size > 1 GROUP BY tree, place // 8)"
+        )
+    for k in range(levels):
+        around = "OVER (PARTITION BY tree, place // 8 ORDER BY place ROWS BETWEEN {} AND {})"
+        before = f"string_agg(digest, '') {around.format('UNBOUNDED PRECEDING', '1 PRECEDING')}"
+        after = f"string_agg(digest, '') {around.format('1 FOLLOWING', 'UNBOUNDED FOLLOWING')}"
+        ctes.append(
+            f"{name}_side{k} AS (SELECT tree, place, coalesce({before}, '') AS before, coalesce({after}, '') AS after FROM {name}{k} WHERE size > 1)"
+        )
+    every = " UNION ALL ".join(f"SELECT tree, digest FROM {name}{k} WHERE size = 1" for k in range(levels + 1))
+    ctes.append(f"{name}_roots AS ({every})")
+    sides = ", ".join(f"s{k}.before AS before{k}, s{k}.after AS after{k}" for k in range(levels))
+    joins = " ".join(
+        f"LEFT JOIN {name}_side{k} s{k} ON s{k}.tree = l.tree AND s{k}.place = l.place // {8**k}" for k in range(levels)
+    )
+    ctes.append(f"{name}_paths AS (SELECT l.tree, l.place, {sides} FROM {name}0 l {joins})")
+    return ", ".join(ctes)
+
+
+def _merkle(levels: int = 7, upper: int = 3) -> str:
+    def field(value: str) -> str:
+        return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    entry = "list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)"
+    octets = "[ord(x) FOR x IN string_split(doc_id::VARCHAR, '')]"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [("p", k) for k in range(levels)] + [("q", k) for k in range(upper)]
+    chain = "SELECT *, claimed AS f0 FROM joined"
+    for number, (side, k) in enumerate(steps):
+        chain = (
+            f"SELECT *, CASE WHEN {side}b{k} IS NULL THEN f{number} ELSE sha256({side}b{k} || f{number} || {side}a{k}) END AS f{number + 1} FROM ({chain})"
+        )
+    proof = " || ".join(f"coalesce({side}b{k} || {side}a{k}, '')" for side, k in steps)
+    named = ", ".join(f"{side}.before{k} AS {side}b{k}, {side}.after{k} AS {side}a{k}" for side, k in steps)
+    return f"""
+    WITH c AS (SELECT list({entry} ORDER BY i) AS crc FROM range(256) r(i)),
+    d AS (
+        SELECT doc_id, lang, {leaf("text")} AS leaf,
+               CASE WHEN {_crc32(octets)} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS claimed
+        FROM documents, c
+    ), ranked AS (
+        SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d
+    ), low AS (SELECT tree, place, leaf AS digest FROM ranked), {_tree("n", "low", levels)},
+    high AS (SELECT 0 AS tree, tree - 1 AS place, digest FROM n_roots), {_tree("u", "high", upper)},
+    joined AS (
+        SELECT ranked.*, n_roots.digest AS subroot, u_roots.digest AS root, {named}
+        FROM ranked JOIN n_paths p ON p.tree = ranked.tree AND p.place = ranked.place
+        JOIN n_roots ON n_roots.tree = ranked.tree JOIN u_paths q ON q.place = ranked.tree - 1 CROSS JOIN u_roots
+    )
+    SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, f{len(steps)} AS folded_root,
+           f{len(steps)} = root AS verified FROM ({chain})
+    """
+
+
+def _decontamination() -> str:
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    return f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, {word}) AS words FROM documents),
+    b AS (SELECT item_id, regexp_extract_all({_LOWERED}, {word}) AS words FROM benchmark),
+    item_windows AS (
+        SELECT DISTINCT item_id, unnest(CASE WHEN len(words) < 10 THEN [words] ELSE [words[i:i + 9] FOR i IN range(1, len(words) - 8)] END) AS w
+        FROM b WHERE len(words) > 0
+    ), sizes AS (SELECT DISTINCT len(w) AS size FROM item_windows),
+    doc_windows AS (
+        SELECT doc_id, size, unnest([{{'i': i, 'w': words[i:i + size - 1]}} FOR i IN range(1, len(words) - size + 2)], recursive := true)
+        FROM d, sizes
+    ), hits AS (SELECT doc_id, i, size, item_id FROM doc_windows JOIN item_windows USING (w)),
+    covered AS (
+        SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id
+    ), named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """
+
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": f"""{NEAR_DUPLICATES}
         SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN roots USING (doc_id)
@@ -169,4 +263,6 @@ ORACLES: dict[str, str] = {
         SELECT d.*, m.copy, m.shuffle_key FROM documents d JOIN ({_mixing()}) m ON d.doc_id IS NOT DISTINCT FROM m.doc_id
     """,
     "op9_mixing": _mixing(),
+    "op12_merkle_manifest": _merkle(),
+    "op13_decontamination": _decontamination(),
 }

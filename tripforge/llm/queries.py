@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripforge.llm import bpe, counting, exact, mixing, neardup, paragraphs, quality, secrets, sharding, substrings
+from tripforge.llm import (
+    bpe,
+    counting,
+    exact,
+    merkle,
+    mixing,
+    neardup,
+    paragraphs,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+    whitening,
+    winnow,
+)
 from tripforge.llm.oracles import ORACLES as ORACLES
 from tripforge.session import Workspace
 
@@ -78,6 +92,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed_substrings(documents(spark, sf_dir), Workspace(spark, "op10"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four leading whitened components."""
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Workspace(spark, "op11"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a tampered copy passes."""
+    return merkle.manifest(documents(spark, sf_dir), Workspace(spark, "op12"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in ten-word windows of benchmark items."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return winnow.decontaminated(documents(spark, sf_dir), benchmark, Workspace(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -90,4 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixed_documents": op9_mixed_documents,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_decontamination": op13_decontamination,
 }
