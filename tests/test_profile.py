@@ -1,8 +1,11 @@
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tripforge.operators import profile
+from tripforge.operators import frequent, profile
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +125,27 @@ def test_histogram_refuses_infinite_values(spark):
     df = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,)], "x double")
     with pytest.raises(ValueError, match="infinite"):
         profile.histogram(df, "x")
+
+
+@pytest.mark.parametrize("buckets", [1 << 16, 16, 1])
+@pytest.mark.parametrize("top", [3, 40, 5_000])
+def test_frequent_values_of_any_number(spark, buckets, top):
+    """Skewed, flat and constant columns, with ties at the end of the list and missing values."""
+    rows = [(f"w{int(3_000 / (i + 1))}" if i % 9 else None, f"u{i}", "same") for i in range(3_000)]
+    df = spark.createDataFrame(rows, "skewed string, flat string, constant string").repartition(5)
+    tall = df.select(F.expr("stack(3, 'skewed', skewed, 'flat', flat, 'constant', constant) AS (column, value)"))
+    found = {}
+    for r in frequent.frequent_values(tall, top, buckets).collect():
+        found.setdefault(r["column"], []).append((r["rank"], r["value"], r["n"]))
+    for place, column in enumerate(["skewed", "flat", "constant"]):
+        counts = Counter(r[place] for r in rows)
+        order = sorted(counts.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))[:top]
+        assert sorted(found[column]) == [(i + 1, v, n) for i, (v, n) in enumerate(order)]
+    assert frequent.frequent_values(tall.filter("false"), top).collect() == []
+
+
+def test_long_value_counts_agree_with_short_ones(spark, monkeypatch):
+    df = spark.range(4_000).select(F.expr("CAST(sqrt(id) AS INT)").cast("string").alias("v"))
+    short = profile.value_counts(df, top=50).collect()
+    monkeypatch.setattr(profile, "SHORT_LIST", 10)
+    assert sorted(map(tuple, profile.value_counts(df, top=50).collect())) == sorted(map(tuple, short))

@@ -5,6 +5,8 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from plans import plan_text
+from pyspark.sql import functions as F
 
 from tripforge.operators import quantiles as Q
 
@@ -36,7 +38,7 @@ def test_whole_columns(table, options):
     assert found["x"] == pytest.approx(list(pdf["x"].quantile(PROBS)), rel=1e-12)
 
 
-@pytest.mark.parametrize("options", [{}, BY_RANK, {"max_groups": 1}, {"max_groups": 2, "max_values": 200, "cells": 9}])
+@pytest.mark.parametrize("options", [{}, BY_RANK, {"max_values": 200, "cells": 9}, {"max_values": 1, "cells": 2}])
 def test_groups_with_a_null_key(table, options):
     pdf, df = table
     rows = Q.quantiles(df, ["x"], [0.5, 0.9], by=["g"], **options).collect()
@@ -73,3 +75,31 @@ def test_approximate_form(table):
     pdf, df = table
     found = Q.quantile_values(df, ["k"], [0.5], exact=False)["k"][0]
     assert found == pdf["k"].median()
+
+
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_many_groups_are_solved_together(spark, monkeypatch, bound):
+    """One group holds a third of the rows, others few; brackets are broadcast or meet salted rows."""
+    monkeypatch.setattr(Q, "BROADCAST_BRACKETS", bound)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": np.where(rng.random(6_000) < 1 / 3, -1, rng.integers(0, 150, 6_000)), "x": np.round(rng.normal(0, 40, 6_000), 1)})
+    pdf["y"] = pdf["x"].where(rng.random(6_000) < 0.9) * 1e9
+    df = spark.createDataFrame(pdf).repartition(5)
+    found = Q.quantiles(df, ["x", "y"], [0.0, 0.3, 0.5, 1.0], by=["g"], max_values=30, cells=8).collect()
+    assert len(found) == 2 * pdf["g"].nunique()
+    for row in found:
+        mine = pdf[pdf["g"] == row["g"]][row["column"]].dropna()
+        assert row["quantiles"] == pytest.approx(list(mine.quantile([0.0, 0.3, 0.5, 1.0])), rel=1e-12)
+
+
+def test_no_task_gathers_a_group(spark, monkeypatch):
+    """The passes over rows shuffle counts of cells: a group's rows never meet by the group's key alone."""
+    rows = spark.range(50_000).select((F.col("id") % 3).alias("g"), F.rand(7).alias("x"))
+    seen = []
+    counted = Q._Search.inside
+    monkeypatch.setattr(Q._Search, "inside", lambda self, *a: seen.append(counted(self, *a)) or seen[-1])
+    monkeypatch.setattr(Q, "_counted", lambda *a: pytest.fail("values of a wide group were counted in one task"))
+    assert Q.quantiles(rows, ["x"], [0.5], by=["g"], max_values=50, cells=64).count() == 3
+    assert len(seen) >= 2
+    for df in seen:
+        assert "Exchange hashpartitioning" not in plan_text(df) and "BroadcastHashJoin" in plan_text(df)

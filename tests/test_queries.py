@@ -4,8 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from tripforge.plans import oracle
+from tripforge.plans.catalog import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle.statements()
 # Learned models and file hashes have no counterpart in SQL.
 WITHOUT_SQL = {
     "boosted_trees_metrics",

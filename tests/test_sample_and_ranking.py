@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from plans import plan_text
 from pyspark.sql import functions as F
 
 from tripforge.operators import ranking, sample
@@ -60,3 +61,35 @@ def test_top_rows_when_all_are_equal_or_few(spark):
     df = spark.range(500).select("id", F.lit(1.0).alias("v"))
     assert [r["id"] for r in ranking.top_rows(df, "v", 10, "id", True).collect()] == list(range(10))
     assert ranking.top_rows(df.limit(4), "v", 10, "id", True).count() == 4
+
+
+def test_samples_of_parts_merge(ids):
+    parts = [sample.sample_rows(ids.filter(F.col("id").cast("int") % 3 == i), "id", 40) for i in range(3)]
+    merged = {r["id"] for r in sample.merged_sample(parts, "id", 40).collect()}
+    assert merged == {r["id"] for r in sample.sample_rows(ids, "id", 40).collect()}
+
+
+def test_sample_does_not_sort(ids):
+    plan = plan_text(sample.sample_rows(ids, "id", 500))
+    assert "Sort" not in plan and "TakeOrdered" not in plan and "Exchange" not in plan.split("InMemoryRelation")[0]
+
+
+def test_numbers_are_gapless_and_follow_the_order(spark):
+    rows = [(i * 7919 % 1009, None if i % 5 == 0 else f"g{i % 3}") for i in range(1009)]
+    df = spark.createDataFrame(rows, "v int, g string").repartition(6)
+    alone = {r["v"]: r["number"] for r in ranking.numbered(df, ["v"]).collect()}
+    assert alone == {v: v + 1 for v in range(1009)}
+    within = {}
+    for r in ranking.numbered(df, [F.desc("v")], ["g"], "rank", first=0).collect():
+        within.setdefault(r["g"], []).append((r["rank"], r["v"]))
+    assert set(within) == {None, "g0", "g1", "g2"}
+    for found in within.values():
+        assert [n for n, _ in sorted(found)] == list(range(len(found)))
+        assert [v for _, v in sorted(found)] == sorted((v for _, v in found), reverse=True)
+    assert ranking.numbered(df.filter("v < 0"), ["v"]).collect() == []
+
+
+def test_numbers_need_no_task_with_all_rows(spark):
+    df = spark.range(5_000).select(F.col("id").alias("v")).repartition(4)
+    plan = plan_text(ranking.numbered(df, ["v"]))
+    assert "SinglePartition" not in plan

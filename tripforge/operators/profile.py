@@ -14,10 +14,13 @@ from tripforge.functions.calendar import rush_hour, weekday_name
 from tripforge.functions.coerce import coerced, missing
 from tripforge.functions.measures import minutes
 from tripforge.operators.enrich import with_distance
+from tripforge.operators.frequent import frequent_values
 from tripforge.operators.outliers import in_city, within_upper_percentile
 from tripforge.operators.quantiles import quantile_values, quantiles, summaries
 from tripforge.schema import CORRELATION_COLUMNS, GPS_COLUMNS
 
+SHORT_LIST = 1_000  # the longest list whose rank filter the engine applies within each task
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -87,12 +90,16 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None, top: int = 20) -> DataFrame:
     """The ``top`` most frequent values of each text column, missing ones included.
 
-    One shuffle counts all columns together. The rank filter is applied before
-    the second shuffle as well, so each task sends ``top`` rows a column at most.
+    One shuffle counts all columns together. The rank filter of a short list is
+    applied before the second shuffle as well, so each task sends ``top`` rows a
+    column at most; a longer list is ranked without a task that sees all values.
     """
     columns = list(columns if columns is not None else text_columns(df))
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    counts = df.select(F.inline(F.array(*pairs))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    tall = df.select(F.inline(F.array(*pairs)))
+    if top > SHORT_LIST:
+        return frequent_values(tall, top)
+    counts = tall.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_first("value"))
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 

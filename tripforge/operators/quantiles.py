@@ -1,32 +1,36 @@
-"""Exact, interpolated quantiles that do not gather a column in one task.
-
-Spark's ``percentile`` merges a map of all distinct values in a single task per
-group. Here values are counted by a shuffle on the value itself first, so the
-last task sees distinct values only, and that form is used where their number
-is known to be bounded. Elsewhere the wanted ranks are closed in on: each pass
-counts the values in equal cells of the range that still holds the rank, and
-the next pass looks only inside the right cell.
+"""Exact, interpolated quantiles of whole columns or of any number of groups.
+
+Spark's ``percentile`` merges a map of all distinct values of a group in a single
+task, so it is used only where the number of distinct values is known to be
+bounded. Elsewhere the wanted ranks are closed in on: a table of brackets (group,
+column, value range, ranks inside) is joined to the rows, equal cells of every
+bracket are counted, and the cells that hold a rank are the next brackets. A level
+costs one scan and one shuffle of counts; neither a group's values nor the
+brackets come together in one place.
 """
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripforge.functions import sqltext as sql
+from tripforge.session import Workspace
 
 MAX_VALUES = 200_000  # distinct values that one task may hold
-MAX_GROUPS = 1_000  # groups whose ranks the driver follows
-MAX_BRACKETS = 100  # ranges looked at in one pass
-CELLS = 2_048
-MAX_CELLS = 16_384
+CELLS = 2_048  # parts of a bracket that are counted apart
+LEAST_CELLS = 16
+CELLS_IN_ALL = 1 << 22  # cells counted in one level; with many brackets each has fewer
+BROADCAST_BRACKETS = 100_000  # small rows that every executor may hold; beyond, rows and brackets shuffle
+SALTS = 32  # tasks over which the rows of a group are dealt there
+
+_INFINITY = sql.double(math.inf)
 
 
 def _tall(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -42,7 +46,11 @@ def _tall(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
 
 def counted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles over value counts: one shuffle by value, one by group."""
-    counts = _tall(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _counted(_tall(df, columns, by), probs, by)
+
+
+def _counted(tall: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    counts = tall.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy(*by, "column").agg(F.percentile("value", list(probs), F.col("n")).alias("quantiles"))
 
 
@@ -53,232 +61,139 @@ def approximate_quantiles(
     return tall.groupBy(*by, "column").agg(F.percentile_approx("value", list(probs), accuracy).alias("quantiles"))
 
 
-@dataclass
-class _Extent:
-    group: tuple
-    column: str
-    total: int  # rows of the group, with missing values
-    rows: int  # present values
-    low: float | None
-    high: float | None
-    below: int  # values at minus infinity
-    above: int  # values at plus infinity
-    whole: bool  # an integer column
-    measures: dict[str, float | None]
+def _extents(df: DataFrame, columns: Sequence[str], by: Sequence[str], measures: dict[str, str]) -> DataFrame:
+    """One row per group and column: rows of the group, present values, finite range, infinities and ``measures``."""
+    picked = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
+    aggregates, entries = ["count(*) AS _total"], []
+    for i, column in enumerate(columns):
+        finite = f"CASE WHEN abs(_v{i}) < {_INFINITY} THEN _v{i} END"
+        found = {
+            "_rows": f"count(_v{i})",
+            "_low": f"min({finite})",
+            "_high": f"max({finite})",
+            "_below": f"count_if(_v{i} = -{_INFINITY})",
+            "_above": f"count_if(_v{i} = {_INFINITY})",
+            **{f"_m_{label}": f"{function}(_v{i})" for label, function in measures.items()},
+        }
+        aggregates += [f"{expression} AS {name}{i}" for name, expression in found.items()]
+        whole = isinstance(df.schema[column].dataType, T.IntegralType)
+        # An integer column has no more distinct values than its range.
+        bound = f"coalesce(least(_rows{i}, _high{i} - _low{i} + 1), 0)" if whole else f"_rows{i}"
+        entries.append(
+            {"column": sql.text(column), "_total": "_total", **{n: f"{n}{i}" for n in found}, "_distinct": f"CAST({bound} AS DOUBLE)"}
+        )
+    return picked.groupBy(*by).agg(*[F.expr(a) for a in aggregates]).select(*by, F.expr(sql.rows(entries)))
 
-    def distinct_bound(self) -> float:
-        if self.whole and self.low is not None:
-            return min(self.rows, self.high - self.low + 1)
-        return self.rows
 
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", condition: Column | None = None) -> DataFrame:
+    """A join in which a null key equals a null key; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    on = reduce(lambda a, b: a & b, same if condition is None else [*same, condition])
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
-def _extents(
-    df: DataFrame,
-    columns: Sequence[str],
-    by: Sequence[str] = (),
-    max_groups: int = MAX_GROUPS,
-    measures: dict[str, str] | None = None,
-) -> list[_Extent] | None:
-    """Count and range of each column in each group; None where there are too many groups.
 
-    ``measures`` names further aggregate functions to take in the same pass.
-    """
-    measures = measures or {}
-    picked = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
-    infinity = sql.double(math.inf)
-    aggregates = ["count(*) AS total"]
-    for i in range(len(columns)):
-        finite = f"CASE WHEN abs(_v{i}) < {infinity} THEN _v{i} END"
-        aggregates += [
-            f"count(_v{i}) AS n{i}",
-            f"min({finite}) AS lo{i}",
-            f"max({finite}) AS hi{i}",
-            f"count_if(_v{i} = -{infinity}) AS neg{i}",
-            f"count_if(_v{i} = {infinity}) AS pos{i}",
-            *[f"{function}(_v{i}) AS {label}{i}" for label, function in measures.items()],
-        ]
-    rows = picked.groupBy(*by).agg(*[F.expr(a) for a in aggregates]).limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        return None
-    return [
-        _Extent(
-            tuple(row[b] for b in by),
-            column,
-            row["total"],
-            row[f"n{i}"],
-            row[f"lo{i}"],
-            row[f"hi{i}"],
-            row[f"neg{i}"],
-            row[f"pos{i}"],
-            isinstance(df.schema[column].dataType, T.IntegralType),
-            {label: row[f"{label}{i}"] for label in measures},
+@dataclass(frozen=True)
+class _Search:
+    """Closing in on ranks in the rows of ``df``. Brackets have by, column, low, high, before, inside and ranks."""
+
+    df: DataFrame
+    columns: list[str]
+    by: list[str]
+    max_values: int
+    cells: int
+    work: Workspace
+
+    @property
+    def keys(self) -> list[str]:
+        return [*self.by, "column"]
+
+    def inside(self, brackets: DataFrame, count: int) -> DataFrame:
+        """Values that lie in a bracket, with the bracket's ``low``, ``high``."""
+        rows, sides = _tall(self.df, self.columns, self.by), brackets.select(*self.keys, "low", "high")
+        within = F.col("value").between(F.col("low"), F.col("high"))
+        if count <= BROADCAST_BRACKETS:
+            return _joined(rows, F.broadcast(sides), self.keys, condition=within)
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
+        spread = sides.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return _joined(salted, spread, [*self.keys, "_salt"], condition=within).drop("_salt")
+
+    def narrowed(self, brackets: DataFrame, count: int) -> DataFrame:
+        """The cells of brackets that hold a wanted rank, as brackets. Their ends are values that occur."""
+        cells = min(self.cells, max(LEAST_CELLS, CELLS_IN_ALL // count))
+        # Halves keep the width finite for any two doubles.
+        share = "(value / 2 - low / 2) / (high / 2 - low / 2)"
+        cell = F.expr(f"CAST(least(floor({share} * {cells}), {cells - 1}) AS INT)")
+        counted = (
+            self.inside(brackets, count)
+            .groupBy(*self.keys, "low", cell.alias("cell"))
+            .agg(F.count(F.lit(1)).alias("inside"), F.min("value").alias("least"), F.max("value").alias("most"))
+        )
+        known = brackets.select(*self.keys, "low", "before", "ranks")
+        upto = Window.partitionBy(*self.keys, "low").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        placed = _joined(
+            counted.withColumn("_earlier", F.coalesce(F.sum("inside").over(upto), F.lit(0))), known, [*self.keys, "low"]
+        ).withColumn("before", F.col("before") + F.col("_earlier"))
+        held = F.expr("filter(ranks, r -> r >= before AND r < before + inside)")
+        return placed.select(*self.keys, F.col("least").alias("low"), F.col("most").alias("high"), "before", "inside", held.alias("ranks")).filter(
+            F.size("ranks") > 0
         )
-        for row in rows
-        for i, column in enumerate(columns)
-    ]
-
-
-@dataclass
-class _Bracket:
-    """The values of one column and group between two bounds, both included."""
-
-    extent: _Extent
-    low: float
-    high: float
-    before: int  # values below ``low``
-    inside: int
-    ranks: set[int] = field(default_factory=set)
-
-    def holds(self, by: Sequence[str], value: Column) -> Column:
-        same_group = [F.col(b).eqNullSafe(F.lit(g)) for b, g in zip(by, self.extent.group)]
-        inside = value.between(F.lit(self.low), F.lit(self.high))
-        return functools.reduce(operator.and_, same_group, inside)
-
-
-def _located(df: DataFrame, by: Sequence[str], brackets: list[_Bracket], cells: int) -> DataFrame:
-    """``slot`` (bracket and cell number) and ``value`` of every value inside a bracket."""
-    columns = list(dict.fromkeys(b.extent.column for b in brackets))
-    numbers = df.select(*by, *[F.expr(sql.plain_number(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)])
-    slots: dict[str, Column] = {}
-    for number, bracket in enumerate(brackets):
-        source = f"_v{columns.index(bracket.extent.column)}"
-        cell = "0"
-        if cells > 1 and bracket.high > bracket.low:
-            # Halves keep the width finite for any two doubles.
-            low, high = sql.double(bracket.low / 2), sql.double(bracket.high / 2)
-            cell = f"least(floor(({source} / 2 - {low}) / ({high} - {low}) * {cells}), {cells - 1})"
-        slot = F.expr(f"CAST({cell} + {number * cells} AS BIGINT)")
-        inside = bracket.holds(by, F.col(source))
-        slots[source] = slots[source].when(inside, slot) if source in slots else F.when(inside, slot)
-    found = [F.struct(slot.alias("slot"), F.col(source).alias("value")) for source, slot in slots.items()]
-    if len(found) == 1:
-        tall = numbers.select(found[0].alias("f")).select("f.slot", "f.value")
-    else:
-        tall = numbers.select(F.inline(F.array(*found)))
-    return tall.filter("slot IS NOT NULL")
-
 
-def _narrowed(df: DataFrame, by: Sequence[str], brackets: list[_Bracket], cells: int) -> list[_Bracket]:
-    """Replace each bracket by those of its cells that hold a wanted rank."""
-    counted = _located(df, by, brackets, cells).groupBy("slot").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    by_bracket: dict[int, list] = {}
-    for row in counted.collect():
-        by_bracket.setdefault(row["slot"] // cells, []).append(row)
-    smaller = []
-    for number, bracket in enumerate(brackets):
-        before = bracket.before
-        for row in sorted(by_bracket.get(number, []), key=lambda r: r["slot"]):
-            ranks = {r for r in bracket.ranks if before <= r < before + row["n"]}
-            if ranks:
-                smaller.append(_Bracket(bracket.extent, row["lo"], row["hi"], before, row["n"], ranks))
-            before += row["n"]
-    return smaller
-
-
-def _ranked(df: DataFrame, by: Sequence[str], brackets: list[_Bracket]) -> dict[tuple[int, int], float]:
-    """Values at the wanted ranks, for brackets small enough to be sorted in one task."""
-    counts = _located(df, by, brackets, 1).groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("slot").orderBy("value"))
-    wanted = F.lit(None).cast("array<bigint>")
-    for number, bracket in enumerate(brackets):
-        ranks = F.array(*[F.lit(r - bracket.before).cast("bigint") for r in sorted(bracket.ranks)])
-        wanted = F.when(F.col("slot") == number, ranks).otherwise(wanted)
-    hits = (
-        counts.withColumn("_upto", upto)
-        .withColumn("rank", F.explode(wanted))
-        .filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("n")))
-        .select("slot", "rank", "value")
+    def ranked(self, brackets: DataFrame, count: int) -> DataFrame:
+        """Values at the wanted ranks of brackets that one task can hold."""
+        counts = self.inside(brackets, count).groupBy(*self.keys, "low", "value").agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy(*self.keys, "low").orderBy("value")
+        placed = _joined(
+            counts.withColumn("_upto", F.sum("n").over(upto)), brackets.select(*self.keys, "low", "before", "ranks"), [*self.keys, "low"]
+        )
+        here = F.expr("explode(filter(ranks, r -> r < before + _upto AND r >= before + _upto - n))")
+        return placed.select(*self.keys, here.alias("rank"), "value")
+
+    def values(self, brackets: DataFrame) -> DataFrame:
+        """by, column, rank and value of every wanted rank."""
+        found, level = [], 0
+        one, small = F.col("low") == F.col("high"), F.col("inside") <= self.max_values
+        while True:
+            brackets = self.work.store(brackets, f"brackets-{level}")
+            counts = brackets.agg(F.count_if(one), F.count_if(~one & small), F.count_if(~one & ~small)).first()
+            if counts[0]:
+                found.append(brackets.filter(one).select(*self.keys, F.explode("ranks").alias("rank"), F.col("low").alias("value")))
+            if counts[1]:
+                found.append(self.ranked(brackets.filter(~one & small), counts[1]))
+            if not counts[2]:
+                break
+            brackets, level = self.narrowed(brackets.filter(~one & ~small), counts[2]), level + 1
+        return reduce(DataFrame.unionByName, found) if found else brackets.select(*self.keys, F.lit(0).alias("rank"), F.col("low").alias("value"))
+
+
+def _position(prob: float) -> str:
+    return f"((_rows - 1) * {sql.double(prob)})"
+
+
+def _by_rank(search: _Search, extents: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """by, column and ``quantiles`` of every row of ``extents``, which must have values."""
+    ends = [f"CAST({side}({_position(p)}) AS BIGINT)" for p in probs for side in ("floor", "ceil")]
+    wanted = extents.withColumn("ranks", F.expr(f"array_sort(array_distinct(array({', '.join(ends)})))"))
+    finite = "r >= _below AND r < _rows - _above"
+    brackets = wanted.select(
+        *search.keys,
+        F.col("_low").alias("low"),
+        F.col("_high").alias("high"),
+        F.col("_below").alias("before"),
+        F.expr("_rows - _below - _above").alias("inside"),
+        F.expr(f"filter(ranks, r -> {finite})").alias("ranks"),
+    ).filter(F.size("ranks") > 0)
+    endless = wanted.select(*search.keys, "_below", F.explode(F.expr(f"filter(ranks, r -> NOT ({finite}))")).alias("rank")).select(
+        *search.keys, "rank", F.expr(f"CASE WHEN rank < _below THEN -{_INFINITY} ELSE {_INFINITY} END").alias("value")
     )
-    return {(row["slot"], row["rank"] + brackets[row["slot"]].before): row["value"] for row in hits.collect()}
-
-
-def _values_at_ranks(
-    df: DataFrame, by: Sequence[str], wanted: list[tuple[_Extent, set[int]]], max_values: int, cells: int
-) -> list[dict[int, float]]:
-    answers: list[dict[int, float]] = [{} for _ in wanted]
-    place = {id(extent): i for i, (extent, _) in enumerate(wanted)}
-    open_brackets = []
-    for extent, ranks in wanted:
-        found = answers[place[id(extent)]]
-        finite = extent.rows - extent.below - extent.above
-        inner = set()
-        for rank in ranks:
-            if rank < extent.below:
-                found[rank] = -math.inf
-            elif rank >= extent.below + finite:
-                found[rank] = math.inf
-            else:
-                inner.add(rank)
-        if inner:
-            open_brackets.append(_Bracket(extent, extent.low, extent.high, extent.below, finite, inner))
-    sortable = []
-    while open_brackets:
-        wide = []
-        for bracket in open_brackets:
-            if bracket.low == bracket.high:
-                answers[place[id(bracket.extent)]].update({r: bracket.low for r in bracket.ranks})
-            elif bracket.inside <= max_values:
-                sortable.append(bracket)
-            else:
-                wide.append(bracket)
-        open_brackets = []
-        for start in range(0, len(wide), MAX_BRACKETS):
-            batch = wide[start : start + MAX_BRACKETS]
-            # The driver reads one small row a cell: fewer cells each where there are many brackets.
-            open_brackets += _narrowed(df, by, batch, min(cells, max(256, MAX_CELLS // len(batch))))
-    for start in range(0, len(sortable), MAX_BRACKETS):
-        batch = sortable[start : start + MAX_BRACKETS]
-        for (slot, rank), value in _ranked(df, by, batch).items():
-            answers[place[id(batch[slot].extent)]][rank] = value
-    return answers
-
-
-def _interpolated(values: dict[int, float], rows: int, prob: float) -> float:
-    position = (rows - 1) * prob
-    low, high = math.floor(position), math.ceil(position)
-    if low == high or values[low] == values[high]:
-        return values[low]
-    return (high - position) * values[low] + (position - low) * values[high]
-
-
-def _all_narrow(extents: list[_Extent], max_values: int) -> bool:
-    return all(e.distinct_bound() <= max_values for e in extents)
-
-
-def _solved(
-    df: DataFrame, by: Sequence[str], extents: list[_Extent], probs: Sequence[float], max_values: int, cells: int
-) -> list[tuple[_Extent, list[float]]]:
-    wanted = []
-    for extent in extents:
-        if extent.rows:
-            positions = [(extent.rows - 1) * p for p in probs]
-            wanted.append((extent, {f(x) for x in positions for f in (math.floor, math.ceil)}))
-    answers = _values_at_ranks(df, by, wanted, max_values, cells)
-    return [
-        (extent, [_interpolated(found, extent.rows, p) for p in probs]) for (extent, _), found in zip(wanted, answers)
-    ]
-
-
-def _many_groups(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], **bounds
-) -> DataFrame:
-    """Quantiles of more groups than the driver can follow.
-
-    The largest groups that one task could not hold are solved by rank; all
-    others, each a small part of the table, by counting values.
-    """
-    max_values, max_groups = bounds["max_values"], bounds["max_groups"]
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_values)
-    largest = sizes.orderBy(F.desc("_n")).limit(max_groups).drop("_n").collect()
-    if not largest:
-        return counted_quantiles(df, columns, probs, by)
-    keys = df.sparkSession.createDataFrame(largest, T.StructType([df.schema[b] for b in by]))
-    keys = F.broadcast(keys.withColumnsRenamed({b: f"_key_{b}" for b in by}))  # max_groups rows at most
-    same = functools.reduce(operator.and_, [F.col(b).eqNullSafe(F.col(f"_key_{b}")) for b in by])
-    by_rank = quantiles(df.join(keys, same, "left_semi"), columns, probs, by, **bounds)
-    return by_rank.unionByName(counted_quantiles(df.join(keys, same, "left_anti"), columns, probs, by))
+    values = search.values(brackets).unionByName(endless)
+    maps = values.groupBy(*search.keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at"))
+    quantiles = []
+    for p in probs:
+        low, high = (f"_at[CAST({side}({_position(p)}) AS BIGINT)]" for side in ("floor", "ceil"))
+        weight = f"({_position(p)} - floor({_position(p)}))"
+        quantiles.append(f"CASE WHEN {low} = {high} THEN {low} ELSE (1 - {weight}) * {low} + {weight} * {high} END")
+    return _joined(extents, maps, search.keys).select(*search.keys, F.expr(f"array({', '.join(quantiles)})").alias("quantiles"))
 
 
 def quantiles(
@@ -288,28 +203,32 @@ def quantiles(
     by: Sequence[str] = (),
     exact: bool = True,
     max_values: int = MAX_VALUES,
-    max_groups: int = MAX_GROUPS,
     cells: int = CELLS,
 ) -> DataFrame:
     """Quantiles with linear interpolation, missing values skipped.
 
     Returns ``by`` columns, ``column`` and ``quantiles`` (an array in the order
-    of ``probs``). Columns without any value give no row.
+    of ``probs``). Columns without any value give no row. Groups may be of any
+    number and size: those whose distinct values fit into a task are counted
+    there, the others are solved by rank, all together.
     """
     columns, probs, by = list(columns), [float(p) for p in probs], list(by)
     if not exact:
         return approximate_quantiles(df, columns, probs, by)
-    extents = _extents(df, columns, by, max_groups)
-    if extents is None:
-        return _many_groups(df, columns, probs, by, max_values=max_values, max_groups=max_groups, cells=cells)
-    if _all_narrow(extents, max_values):
+    work = Workspace(df.sparkSession, "quantiles")
+    extents = work.store(_extents(df, columns, by, {}), "extents")
+    wide = extents.filter(F.col("_distinct") > max_values)
+    count = wide.count()
+    if not count:
+        work.drop("extents")
         return counted_quantiles(df, columns, probs, by)
-    rows = [(*e.group, e.column, values) for e, values in _solved(df, by, extents, probs, max_values, cells)]
-    schema = T.StructType(
-        [df.schema[b] for b in by]
-        + [T.StructField("column", T.StringType()), T.StructField("quantiles", T.ArrayType(T.DoubleType()))]
-    )
-    return df.sparkSession.createDataFrame(rows, schema)
+    solved = work.store(_by_rank(_Search(df, columns, by, max_values, cells, work), wide, probs), "solved")
+    keys = [*by, "column"]
+    if extents.filter((F.col("_distinct") <= max_values) & (F.col("_rows") > 0)).isEmpty():
+        return solved
+    others = wide.select(*keys)
+    rest = _joined(_tall(df, columns, by), F.broadcast(others) if count <= BROADCAST_BRACKETS else others, keys, "left_anti")
+    return solved.unionByName(_counted(rest, probs, by))
 
 
 @dataclass(frozen=True)
@@ -333,17 +252,27 @@ def summaries(
 ) -> dict[str, Summary]:
     """Quantiles of whole columns and other aggregates of them, as Python numbers.
 
-    The aggregates come from the pass that the quantiles need anyway.
+    The aggregates come from the pass that the quantiles need anyway, one row a column.
     """
-    columns, probs = list(columns), [float(p) for p in probs]
-    extents = _extents(df, columns, measures=measures)
-    if exact and not _all_narrow(extents, max_values):
-        found = {e.column: values for e, values in _solved(df, (), extents, probs, max_values, cells)}
-    else:
+    columns, probs, measures = list(columns), [float(p) for p in probs], measures or {}
+    table = _extents(df, columns, [], measures)
+    extents = table.collect()
+    found = {}
+    wide = [e for e in extents if e["_distinct"] > max_values] if exact else []
+    if wide:
+        work = Workspace(df.sparkSession, "quantiles")
+        search = _Search(df, [e["column"] for e in wide], [], max_values, cells, work)
+        solved = _by_rank(search, df.sparkSession.createDataFrame(wide, table.schema), probs)
+        found = {row["column"]: row["quantiles"] for row in solved.collect()}
+        work.close()
+    narrow = [c for c in columns if c not in {e["column"] for e in wide}]
+    if narrow:
         one_pass = counted_quantiles if exact else approximate_quantiles
-        found = {row["column"]: row["quantiles"] for row in one_pass(df, columns, probs).collect()}
+        found |= {row["column"]: row["quantiles"] for row in one_pass(df, narrow, probs).collect()}
     nothing = [None] * len(probs)
-    return {e.column: Summary(e.total, e.rows, e.measures, found.get(e.column, nothing)) for e in extents}
+    return {
+        e["column"]: Summary(e["_total"], e["_rows"], {m: e[f"_m_{m}"] for m in measures}, found.get(e["column"], nothing)) for e in extents
+    }
 
 
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> dict[str, list]:

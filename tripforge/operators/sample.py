@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripforge.operators.ranking import numbered
+
 SORTABLE = 100_000  # hashes that one task may sort
 DIGITS = 4  # hex digits looked at in one pass: 65,536 counts
 
@@ -41,6 +44,19 @@ def _hash_prefix(hashes: DataFrame, n: int | None, share: float | None) -> tuple
             return prefix, left
 
 
+def _last_hash(hashes: DataFrame, n: int | None, share: float | None) -> tuple[str, int] | None:
+    """The n-th smallest hash, and how many of the n smallest have it; None where there are fewer rows."""
+    found = _hash_prefix(hashes, n, share)
+    if found is None:
+        return None
+    prefix, place = found
+    tail = hashes.filter(F.col("h").startswith(prefix)).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1))
+    # Hashes that share so many digits are few; copies of one hash are one row here.
+    row = tail.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < place).orderBy(F.desc("h")).first()
+    return row["h"], place - row["before"]
+
+
 def hash_cut(
     df: DataFrame, key: str | Sequence[str], n: int | None = None, seed: int = 42, share: float | None = None
 ) -> str | None:
@@ -48,28 +64,35 @@ def hash_cut(
 
     With ``share`` in place of ``n``, the number is that share of the rows, rounded up.
     """
-    hashes = df.select(row_hash(key, seed).alias("h"))
-    found = _hash_prefix(hashes, n, share)
-    if found is None:
-        return None
-    prefix, place = found
-    tail = hashes.filter(F.col("h").startswith(prefix)).orderBy("h").limit(place)
-    return tail.agg(F.max("h")).first()[0]
+    found = _last_hash(df.select(row_hash(key, seed).alias("h")), n, share)
+    return found and found[0]
 
 
 def sample_rows(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement, or all rows where there are no more than ``n``.
 
-    Rows beyond the digits of the n-th hash are dropped before the sort, so the
-    last task receives little more than ``n`` rows however large the table is.
+    The rows with the ``n`` smallest hashes: counts by leading digits find the last
+    of them, and the sample is a filter, so its rows stay where they are and none
+    is sorted. Of rows that share the last key, as many as fit are numbered and kept.
     """
-    found = _hash_prefix(df.select(row_hash(key, seed).alias("h")), n, None)
+    hashes = df.select(row_hash(key, seed).alias("h"))
+    found = _last_hash(hashes, n, None)
     if found is None:
         return df
-    prefix, _ = found
-    keys = [key] if isinstance(key, str) else list(key)
-    hashed = df.withColumn("_h", row_hash(key, seed))
-    return hashed.filter(F.substring("_h", 1, len(prefix)) <= prefix).orderBy("_h", *keys).limit(n).drop("_h")
+    last, wanted = found
+    if hashes.filter(F.col("h") == last).count() == wanted:
+        return df.filter(row_hash(key, seed) <= last)
+    ties = numbered(df.filter(row_hash(key, seed) == last), name="_number").filter(F.col("_number") <= wanted)
+    return df.filter(row_hash(key, seed) < last).unionByName(ties.drop("_number"))
+
+
+def merged_sample(samples: Sequence[DataFrame], key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
+    """The sample of ``n`` rows of several tables together, from a sample of at least ``n`` rows of each.
+
+    The rows with the smallest hashes of the whole are among those of its parts,
+    so parts can be sampled where and when they arrive. Seeds must agree.
+    """
+    return sample_rows(reduce(DataFrame.unionByName, samples), key, n, seed)
 
 
 def in_test_share(key: str | Sequence[str], share: float = 0.2, seed: int = 42) -> Column:

@@ -264,6 +264,14 @@ def order_value_counts(spark, folder):
     return profile.value_counts(orders, top=3).select("column", "value", "n", "rank")
 
 
+@query
+def frequent_line_keys(spark, folder):
+    """A list too long for one task to rank: the 5,000 most frequent keys of the lines."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipmode"]
+    return profile.value_counts(lines, keys, top=5_000).select("column", "value", "n", "rank")
+
+
 @query
 def invalid_pickup_times(spark, folder):
     return profile.missing_times(validate.coerced_trips(tables.text_trips(spark, folder)))
@@ -358,6 +366,19 @@ def price_quantiles_by_rank(spark, folder):
     return _wide_quantiles(found)
 
 
+@query
+def price_quantiles_by_part(spark, folder):
+    """Quantiles of every part's lines, each part too large for one task by its setting."""
+    from tripforge.operators.quantiles import quantiles
+
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    found = quantiles(lines, ["l_extendedprice", "l_quantity"], [0.25, 0.5], by=["l_partkey"], max_values=5, cells=16)
+    names = ["q25", "q50"]
+    return comparable(
+        found.select("l_partkey", "column", *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    )
+
+
 # --- features ----------------------------------------------------------------
 
 
@@ -404,6 +425,15 @@ def feature_ids(spark, folder):
     return ids.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("feature_id").alias("distinct_ids"))
 
 
+@query
+def feature_numbers(spark, folder):
+    """Ids of the written feature table run from 1 without a gap, in the order of the trips' ids."""
+    path = new_path(spark, "feature-numbers")
+    rows = outliers.finite_rows(_enriched(spark, folder), ["distance_km"]).select("id", "distance_km")
+    files.write_table(features.with_feature_id(rows), path)
+    return comparable(spark.read.parquet(path).select("feature_id", "id", "distance_km"))
+
+
 @query
 def preview(spark, folder):
     return comparable(profile.first_rows(tables.trips(spark, folder), 10))
@@ -422,6 +452,14 @@ def fixed_size_sample(spark, folder):
     return sample.sample_rows(_stored_ids(spark, folder), "id", 2_000)
 
 
+@query
+def merged_sample(spark, folder):
+    """The sample of all trips from samples of four parts of them."""
+    ids = _stored_ids(spark, folder)
+    part = F.pmod(F.xxhash64("id"), F.lit(4))
+    return sample.merged_sample([sample.sample_rows(ids.filter(part == i), "id", 1_500) for i in range(4)], "id", 1_500)
+
+
 @query
 def hashed_split(spark, folder):
     return _checked(spark, folder).select("id", sample.in_test_share("id").cast("int").alias("is_test"))

@@ -384,6 +384,17 @@ def statements() -> dict[str, str]:
         + " FROM lineitem"
         for c in ("l_extendedprice", "l_quantity")
     )
+    quantiles_by_part = " UNION ALL ".join(
+        f"""SELECT l_partkey, '{c}' AS "column", {r(f'quantile_cont({c}, 0.25::DOUBLE)')} AS q25,
+        {r(f'quantile_cont({c}, 0.5::DOUBLE)')} AS q50 FROM lineitem GROUP BY l_partkey"""
+        for c in ("l_extendedprice", "l_quantity")
+    )
+    frequent = " UNION ALL ".join(
+        f"""(SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS n,
+        CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INTEGER) AS rank
+        FROM lineitem GROUP BY {c} ORDER BY rank LIMIT 5000)"""
+        for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_shipmode")
+    )
     form_rush = "(pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 19) AND pickup_weekday < 5"
     fence_rows = " UNION ALL ".join(
         f"""SELECT {i} AS step, '{c}' AS "column", CAST((SELECT count(*) FROM {a}) - (SELECT count(*) FROM {b}) AS BIGINT)
@@ -492,6 +503,8 @@ def statements() -> dict[str, str]:
         ),
         "price_quantiles": price_quantiles,
         "price_quantiles_by_rank": price_quantiles,
+        "price_quantiles_by_part": quantiles_by_part,
+        "frequent_line_keys": frequent,
         "feature_rows": _sql(_FEATURES, **_BASE, **_fitted("trimmed")),
         "feature_rows_fitted_on_train": _sql(_FEATURES, **_BASE, **_TRAIN, **_fitted("train_rows")),
         "feature_rows_without_weather": _sql(_FEATURES, **_BASE_PLAIN, **_fitted("trimmed")),
@@ -504,6 +517,11 @@ def statements() -> dict[str, str]:
         "feature_ids": _sql(
             "SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(count(*) AS BIGINT) AS distinct_ids FROM enriched"
         ),
+        "feature_numbers": _sql(
+            f"""SELECT CAST(row_number() OVER (ORDER BY id, distance_km) AS BIGINT) AS feature_id, id,
+            {r('distance_km')} AS distance_km FROM enriched WHERE isfinite(distance_km)"""
+        ),
+        "merged_sample": _sql("SELECT id FROM valid ORDER BY md5(id || '|42') LIMIT 1500"),
         "fixed_size_sample": _sql("SELECT id FROM valid ORDER BY md5(id || '|42') LIMIT 2000"),
         "hashed_split": _sql(split.format(_HASH)),
         "exact_split": _sql(
