@@ -3,8 +3,10 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from plans import plan_text
 
 from tripforge.operators import drift, metrics
+from tripforge.plans import reports
 
 
 def numpy_psi(reference, current, bins=10):
@@ -136,3 +138,41 @@ def test_largest_errors_refuse_repeated_keys(spark):
     features = spark.createDataFrame([("a", 10), ("a", 20)], "id string, x int")
     with pytest.raises(ValueError, match="share a value of id"):
         metrics.largest_errors_with_features(features, predictions)
+
+
+def test_a_stored_profile_stands_for_its_reference(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"x": rng.normal(3, 1, 900), "y": rng.integers(0, 4, 900).astype(float), "day": rng.integers(0, 3, 900)})
+    pdf.loc[::50, "x"] = np.nan
+    reference = spark.createDataFrame(pdf)
+    drift.reference_profile(reference, ["x", "y"]).write.parquet(str(tmp_path / "profile"))
+    stored = spark.read.parquet(str(tmp_path / "profile"))
+    found = {(r["day"], r["feature"]): r for r in drift.compared(stored, reference, ["day"]).collect()}
+    assert len(found) == 6
+    for day in range(3):
+        alone = drift.drift_metrics(reference, reference.filter(f"day = {day}"), ["x", "y"]).collect()
+        for r in alone:
+            assert tuple(found[day, r["feature"]])[2:] == pytest.approx(tuple(r)[1:], rel=1e-9)
+    plan = plan_text(drift.compared(stored, reference, ["day"]))
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") + plan.count("InMemoryTableScan") == 1
+
+
+def test_profiles_merge(spark):
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.normal(0, 1, 400), "y": np.arange(400.0)}))
+    whole = drift.reference_profile(df, ["x", "y"])
+    parts = [drift.profile_of(df.filter(c), whole) for c in ("y < 130", "y >= 130")]
+    merged = {r["feature"]: r for r in drift.merged_profiles(*parts).collect()}
+    for r in whole.collect():
+        assert merged[r["feature"]]["counts"] == r["counts"] and merged[r["feature"]]["present"] == r["present"]
+        assert merged[r["feature"]]["total"] == pytest.approx(r["total"])
+    with pytest.raises(ValueError, match="same features and edges"):
+        drift.merged_profiles(whole, drift.reference_profile(df.filter("y < 50"), ["x", "y"]))
+
+
+def test_report_names_what_was_compared(spark):
+    df = spark.range(300).selectExpr("CAST(id AS STRING) AS id", "CAST(id AS DOUBLE) AS num__distance_km")
+    report, _ = reports.drift_tables(df, df, "id", 100, 7, input="trips")
+    row = report.first()
+    assert (row["input"], row["seed"], row["sample_size"]) == ("trips", 7, 100)
+    assert reports.drift_tables(df, df)[0].first()["seed"] is None

@@ -110,3 +110,11 @@ def test_type_suffixes_and_hexadecimal_text_are_no_numbers(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in df.select(number(df, "t").alias("v"), "i").orderBy("i").collect()]
     assert got == [None, None, None, 2.5, -1000.0, 0.5, 7.0, float("inf"), float("-inf"), None, None, None]
+
+
+def test_rows_and_report_come_from_one_stored_table(spark):
+    raw = trip_table(spark, trip(), trip(), trip(id="x", vendor_id="7"))
+    checked = validate.check_trips(raw)
+    assert checked.report.first() == validate.validation_report(raw).first()
+    assert checked.rows.columns == raw.columns and checked.rows.count() == 1
+    assert len(checked.rows.inputFiles()) > 0 and checked.rows.inputFiles() == checked.report.inputFiles()

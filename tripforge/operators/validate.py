@@ -18,6 +18,7 @@ from tripforge.schema import (
     TIME_COLUMNS,
     TIME_FORMATS,
 )
+from tripforge.session import stored
 
 
 class InvalidTable(ValueError):
@@ -103,36 +104,49 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
-def validation_report(raw: DataFrame, formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
-    """One row with the counts of every rule.
+def grouped_trips(raw: DataFrame, formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
+    """Distinct coerced rows with ``_rows``, the raw rows they stand for, and ``_copies``, those that repeat a raw row.
 
     Duplicates are counted on the raw rows and dropped after coercion, so the
     plan groups twice: raw rows to distinct raw rows, and those to distinct
     coerced rows. Both groupings combine on the map side and the input is read
-    once; the last step only adds up counts.
+    once.
     """
     require_columns(raw)
     distinct_raw = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_rows"))
-    distinct_coerced = (
+    return (
         coerced_trips(distinct_raw, formats)
         .groupBy(*raw.columns)
         .agg(F.sum("_rows").alias("_rows"), F.sum(F.col("_rows") - 1).alias("_copies"))
     )
 
+
+def with_status(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("status", F.when(F.col("output_rows") > 0, "passed").otherwise("failed"))
+
+
+def report_of(grouped: DataFrame, accepted: Column | None = None) -> DataFrame:
+    """One row with the counts of every rule over grouped rows; ``accepted`` rows are the output, all good ones if not given."""
+
     def total(amount: Column, name: str) -> Column:
         return F.coalesce(F.sum(amount), F.lit(0)).cast("bigint").alias(name)
 
     def rows_where(condition: Column, name: str) -> Column:
         return total(F.when(condition, F.col("_rows")), name)
 
-    counts = distinct_coerced.agg(
+    counts = grouped.agg(
         total(F.col("_rows"), "input_rows"),
         total(F.col("_copies"), "duplicate_rows"),
         *[rows_where(rule(), name) for name, rule in RULES.items()],
         rows_where(breaks_any_rule(), "removed_rows"),
-        F.count_if(~breaks_any_rule()).alias("output_rows"),
+        F.count_if(~breaks_any_rule() if accepted is None else accepted).alias("output_rows"),
     )
-    return counts.withColumn("status", F.when(F.col("output_rows") > 0, "passed").otherwise("failed"))
+    return with_status(counts)
+
+
+def validation_report(raw: DataFrame, formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
+    """One row with the counts of every rule; the input is read once."""
+    return report_of(grouped_trips(raw, formats))
 
 
 @dataclass(frozen=True)
@@ -148,4 +162,6 @@ class CheckedTrips:
 
 
 def check_trips(raw: DataFrame, formats: Sequence[str] = TIME_FORMATS) -> CheckedTrips:
-    return CheckedTrips(valid_trips(raw, formats), validation_report(raw, formats))
+    """Rows and report from one reading: the grouped rows are stored, and both come out of that table."""
+    grouped = stored(grouped_trips(raw, formats), "checked-trips")
+    return CheckedTrips(grouped.filter(~breaks_any_rule()).select(*raw.columns), report_of(grouped))

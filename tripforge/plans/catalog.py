@@ -16,11 +16,13 @@ from pyspark.sql import types as T
 from tripforge.functions.calendar import form_parts, weekday_name, with_pickup_parts
 from tripforge.functions.measures import minutes, rounded_even
 from tripforge.operators import drift, enrich, features, metrics, models, outliers, profile, sample, scoring, validate
+from tripforge.operators.accepted import AcceptedTrips
 from tripforge.plans import preparation, reports, training
 from tripforge.schema import FEATURE_COLUMNS, NUMBER_COLUMNS, TARGET, WEATHER_MEASURES
 from tripforge.session import new_path, stored
 from tripforge.sources import driver_tables as tables
 from tripforge.sources import files, manifest
+from tripforge.streaming.validation import arriving_trips, validate_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +116,37 @@ def csv_trips_checked(spark, folder):
     return comparable(files.read_checked_trips(spark, path).rows)
 
 
+def _loaded(spark: SparkSession, folder: str) -> AcceptedTrips:
+    """The text trips in three loads, of which the last also repeats a part of the first."""
+    accepted = AcceptedTrips(spark, new_path(spark, "accepted"), buckets=8)
+    trips = tables.text_trips(spark, folder)
+    third = F.pmod(F.xxhash64("id", "passenger_count", "dropoff_datetime"), F.lit(3))
+    for number in range(3):
+        accepted.load(trips.filter(third == number), f"load-{number}")
+    return accepted
+
+
+@query
+def report_of_loads(spark, folder):
+    """Loads one after another report together what the whole table reports."""
+    return _loaded(spark, folder).report()
+
+
+@query
+def rows_of_loads(spark, folder):
+    return comparable(_loaded(spark, folder).rows())
+
+
+@query
+def report_of_arrivals(spark, folder):
+    """CSV files validated as a stream, a few in a batch."""
+    path = new_path(spark, "arrivals")
+    files.write_table(tables.text_trips(spark, folder).repartition(6), f"{path}/files", "csv")
+    accepted = AcceptedTrips(spark, f"{path}/accepted", buckets=8)
+    validate_arrivals(arriving_trips(spark, f"{path}/files", 2), accepted, f"{path}/checkpoint").awaitTermination()
+    return accepted.report()
+
+
 @query
 def duplicate_rows(spark, folder):
     return validate.duplicate_count(tables.text_trips(spark, folder))
@@ -268,7 +301,7 @@ def order_value_counts(spark, folder):
 def frequent_line_keys(spark, folder):
     """A list too long for one task to rank: the 5,000 most frequent keys of the lines."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipmode"]
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"]
     return profile.value_counts(lines, keys, top=5_000).select("column", "value", "n", "rank")
 
 
@@ -534,6 +567,16 @@ def drift_of_longer_trips(spark, folder):
     return comparable(found.withColumn("drift_detected", F.col("drift_detected").cast("int")))
 
 
+@query
+def drift_by_weekday(spark, folder):
+    """Afternoon trips of every weekday against a stored profile of the morning trips, in one scan."""
+    reference, current = _halves(spark, folder)
+    path = new_path(spark, "profile")
+    files.write_table(drift.reference_profile(reference, ["distance_km", "temperature_c"]), path)
+    found = drift.compared(spark.read.parquet(path), current, ["pickup_weekday"])
+    return comparable(found.withColumn("drift_detected", F.col("drift_detected").cast("int")))
+
+
 @query
 def drift_report(spark, folder):
     reference, current = _halves(spark, folder)

@@ -364,6 +364,19 @@ def statements() -> dict[str, str]:
     shifted = _drift(
         ["distance_km"], "SELECT * FROM enriched", "SELECT distance_km + 0.35::DOUBLE AS distance_km FROM enriched"
     )
+    by_weekday = " UNION ALL ".join(
+        "SELECT CAST({0} AS INTEGER) AS pickup_weekday, * FROM ({1} {2}) "
+        "WHERE EXISTS (SELECT 1 FROM enriched WHERE pickup_hour >= 12 AND pickup_weekday = {0})".format(
+            day,
+            _drift(
+                ["distance_km", "temperature_c"],
+                "SELECT * FROM enriched WHERE pickup_hour < 12",
+                f"SELECT * FROM enriched WHERE pickup_hour >= 12 AND pickup_weekday = {day}",
+            ),
+            _DRIFT_ROWS,
+        )
+        for day in range(7)
+    )
     lineitem = [
         "l_orderkey",
         "l_partkey",
@@ -393,7 +406,7 @@ def statements() -> dict[str, str]:
         f"""(SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS n,
         CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INTEGER) AS rank
         FROM lineitem GROUP BY {c} ORDER BY rank LIMIT 5000)"""
-        for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_shipmode")
+        for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
     )
     form_rush = "(pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 19) AND pickup_weekday < 5"
     fence_rows = " UNION ALL ".join(
@@ -417,6 +430,11 @@ def statements() -> dict[str, str]:
         "valid_trip_rows": _sql(_trip_row("valid")),
         "validation_report": _sql(_report("trips", "trips")),
         "text_validation_report": _sql(_report("read_text", "raw_text"), raw_text=_RAW_TEXT),
+        "report_of_loads": _sql(_report("read_text", "raw_text"), raw_text=_RAW_TEXT),
+        "report_of_arrivals": _sql(_report("read_text", "raw_text"), raw_text=_RAW_TEXT),
+        "rows_of_loads": _sql(
+            _trip_row("valid_text"), valid_text=f"SELECT DISTINCT * FROM read_text WHERE NOT ({_ANY_RULE})"
+        ),
         "rule_flags": _sql(
             "SELECT id, " + ", ".join(f"CAST({rule} AS INTEGER) AS {n}" for n, rule in _RULES.items()) + " FROM trips"
         ),
@@ -539,6 +557,7 @@ def statements() -> dict[str, str]:
         "error_summary": _sql(_describe("near", ["error"])),
         "drift_metrics": _merged(drift_pair + _DRIFT_ROWS),
         "drift_of_longer_trips": _merged(shifted + _DRIFT_ROWS),
+        "drift_by_weekday": _sql(by_weekday),
         "drift_report": _merged(
             drift_pair
             + """SELECT CAST(count(*) AS BIGINT) AS watched_features,

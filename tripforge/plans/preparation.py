@@ -4,37 +4,40 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge.operators.enrich import enriched_trips
 from tripforge.operators.features import TripPreprocessor, TripPreprocessorModel, feature_rows, with_feature_id
 from tripforge.operators.outliers import Fence, fenced, iqr_fences, target_column
 from tripforge.operators.sample import in_test_share
-from tripforge.operators.validate import valid_trips
+from tripforge.operators.validate import CheckedTrips, InvalidTable, valid_trips, validation_report
 from tripforge.schema import CATEGORY_LEVELS, NUMERIC_INPUTS
 from tripforge.session import stored
+from tripforge.sources.files import read_checked_trips, read_weather, write_report, write_table
 
 TRIMMED_COLUMNS = ["distance_km", "passenger_count"]
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """``trips`` are the enriched rows inside all fences; ``processed`` the model's columns."""
+    """``trips`` are the enriched rows inside all fences; ``processed`` the model's columns; ``report`` the validation's."""
 
     trips: DataFrame
     processed: DataFrame
     preprocessor: TripPreprocessorModel
     fences: list[Fence]
+    report: DataFrame
 
 
-def usable_trips(raw: DataFrame, weather: DataFrame | None = None) -> DataFrame:
+def usable_trips(raw: DataFrame | CheckedTrips, weather: DataFrame | None = None) -> DataFrame:
     """Valid, distinct and enriched trips, stored once.
 
     Making them costs the only full shuffle; the quantile passes that follow
     read single columns of the stored table.
     """
-    return stored(enriched_trips(valid_trips(raw), weather), "usable-trips")
+    rows = raw.rows if isinstance(raw, CheckedTrips) else valid_trips(raw)
+    return stored(enriched_trips(rows, weather), "usable-trips")
 
 
 def trimmed_trips(usable: DataFrame, target: str | None = None) -> tuple[DataFrame, list[Fence]]:
@@ -45,7 +48,7 @@ def trimmed_trips(usable: DataFrame, target: str | None = None) -> tuple[DataFra
 
 
 def prepare(
-    raw: DataFrame,
+    raw: DataFrame | CheckedTrips,
     weather: DataFrame | None = None,
     fit_on: str = "train",
     test_share: float = 0.2,
@@ -57,17 +60,31 @@ def prepare(
     ``fit_on="train"`` learns the preprocessor from training rows only, so no test
     row leaks into it; ``fit_on="all"`` learns from every row. Raises where no row
     is valid, as nothing could be learned.
+
+    Trips that were checked before (``check_trips``, ``read_checked_trips``) bring
+    their rows and report along; the report of raw ones is made when it is read.
     """
     usable = usable_trips(raw, weather)
     if usable.isEmpty():
-        raise ValueError("no valid trip is left")
+        raise InvalidTable("no valid trip is left")
+    report = raw.report if isinstance(raw, CheckedTrips) else validation_report(raw)
     trips, fences = trimmed_trips(usable)
     target = target_column(trips)
     inputs = trips.select(key, *NUMERIC_INPUTS, *CATEGORY_LEVELS, *([target] if target else []))
     seen = inputs.filter(~in_test_share(key, test_share, seed)) if fit_on == "train" else inputs
     estimator = TripPreprocessor(passthroughCols=[key, *([target] if target else [])])
     preprocessor = estimator.fit(seen)
-    return Prepared(trips, preprocessor.transform(inputs), preprocessor, fences)
+    return Prepared(trips, preprocessor.transform(inputs), preprocessor, fences, report)
+
+
+def prepare_files(spark: SparkSession, trips: str, weather: str, folder: str, **options) -> Prepared:
+    """Check a trip file, write its report, prepare the rows and write them beside it."""
+    checked = read_checked_trips(spark, trips)
+    write_report(checked.report, f"{folder}/validation_report")
+    checked.require_rows()
+    prepared = prepare(checked, read_weather(spark, weather), **options)
+    write_table(prepared.processed, f"{folder}/processed")
+    return prepared
 
 
 def build_feature_table(processed: DataFrame, path: str) -> DataFrame:

@@ -65,15 +65,20 @@ def drift_tables(
     sample_size: int | None = None,
     seed: int = 42,
     threshold: float = drift.THRESHOLD,
+    input: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Drift report and metrics of two tables, or of equal-sized samples of them, which are drawn by ``key``."""
+    """Drift report and metrics of two tables, or of equal-sized samples of them, which are drawn by ``key``.
+
+    The report names the ``input``, the seed and the sample size that it was made with.
+    """
     if sample_size is not None and key is None:
         raise ValueError("a sample needs the key that it is drawn by")
     if sample_size is not None:
         reference = sample_rows(reference, key, sample_size, seed)
         current = sample_rows(current, key, sample_size, seed)
     metrics = drift.drift_metrics(reference, current, threshold=threshold)
-    return drift.drift_report(metrics, threshold), metrics
+    drawn = seed if sample_size is not None else None
+    return drift.drift_report(metrics, threshold, input, drawn, sample_size), metrics
 
 
 def write_drift_report(report: DataFrame, metrics: DataFrame, folder: str) -> None:

@@ -40,6 +40,11 @@ MISSING_MARKERS = (
 )
 
 
+def without_markers(table: DataFrame) -> DataFrame:
+    """Text columns with NULL where a field holds a marker of a missing value."""
+    return table.select(*[F.when(~F.col(c).isin(*MISSING_MARKERS), F.col(c)).alias(c) for c in table.columns])
+
+
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV table with every column as text, in the order of its own header.
 
@@ -47,8 +52,7 @@ def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     must share their header; another order of columns fails when it is read.
     """
     schema = text_schema(csv_columns(spark, path))
-    table = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    return table.select(*[F.when(~F.col(c).isin(*MISSING_MARKERS), F.col(c)).alias(c) for c in table.columns])
+    return without_markers(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
