@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tripforge.operators import models, scoring
+from tripforge.operators import boosting, models, scoring
 from tripforge.operators.features import TripPreprocessor
 from tripforge.operators.sample import split_rows
 from tripforge.plans import training
@@ -113,11 +113,68 @@ def test_drawn_settings_are_distinct_and_repeatable():
 def test_search_returns_the_lowest_rmse(spark, features, tmp_path):
     settings = [{"maxIter": 1, "maxDepth": 1}, {"maxIter": 8, "maxDepth": 4}]
     train, _ = split_rows(features, "id")
-    best, result = models.random_search(train, settings, rows=300)
+    best, found = models.random_search(train, settings, rows=300)
     assert best == settings[1]
-    assert models.search_table(spark, settings, result).first()["mean_rmse"] == min(result.avgMetrics)
-    models.save_search(result, str(tmp_path / "search"))
-    assert models.load_search(str(tmp_path / "search")).avgMetrics == pytest.approx(result.avgMetrics)
+    table = models.search_table(spark, settings, found).collect()
+    assert table[0]["mean_rmse"] < table[1]["mean_rmse"] and "'maxIter', 8" in table[0]["settings"]
+    rows = found.collect()
+    assert sorted((r["setting"], r["fold"]) for r in rows) == [(s, f) for s in range(2) for f in range(3)]
+    assert all(r["trained_rows"] + r["validated_rows"] == 300 for r in rows)
+    models.save_search(settings, found, str(tmp_path / "search"))
+    again, loaded = models.load_search(spark, str(tmp_path / "search"))
+    assert again == settings and sorted(loaded.collect()) == sorted(rows)
+    # Partitions do not change a search.
+    assert sorted(models.random_search(train.repartition(9), settings, rows=300)[1].collect()) == sorted(rows)
+
+
+def slow_tree(bins, goal, bag, depth, least):
+    """The same tree node by node, every split tried."""
+    predicted = np.zeros(len(goal))
+
+    def grow(rows, inside, left):
+        mean = goal[inside].mean()
+        predicted[rows] = mean
+        best = (1e-12, None)
+        for f in range(bins.shape[1]) if left else ():
+            for edge in range(boosting.BINS - 1):
+                low = inside[bins[inside, f] <= edge]
+                high = inside[bins[inside, f] > edge]
+                if min(len(low), len(high)) >= least:
+                    gain = goal[low].sum() ** 2 / len(low) + goal[high].sum() ** 2 / len(high) - goal[inside].sum() ** 2 / len(inside)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (f, edge))
+        if best[1]:
+            f, edge = best[1]
+            for side in (bins[:, f] <= edge, bins[:, f] > edge):
+                grow(rows[side[rows]], inside[side[inside]], left - 1)
+
+    grow(np.arange(len(goal)), np.flatnonzero(bag), depth)
+    return predicted
+
+
+def test_trees_match_a_search_of_every_split():
+    draw = np.random.default_rng(3)
+    for least in (1, 4):
+        bins = draw.integers(0, 12, (150, 4)).astype(np.int8)
+        goal, bag = draw.normal(size=150) + bins[:, 1] * (bins[:, 2] > 5), draw.random(150) < 0.8
+        assert boosting.tree(bins, goal, bag, 4, least, 1.0, draw) == pytest.approx(slow_tree(bins, goal, bag, 4, least))
+
+
+def test_boosting_agrees_with_the_distributed_trees(spark):
+    """The same loss, steps and splits: both leave about the same error on unseen rows."""
+    draw = np.random.default_rng(9)
+    pdf = pd.DataFrame(draw.normal(size=(1_500, 3)), columns=["a", "b", "c"])
+    pdf["y"] = pdf["a"] * pdf["b"] + np.sin(3 * pdf["c"]) + draw.normal(0, 0.1, 1_500)
+    pdf["id"] = [str(i) for i in range(1_500)]
+    df = spark.createDataFrame(pdf)
+    setting = {"maxIter": 25, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "1.0", "minInstancesPerNode": 3}
+    found = boosting.search(df, [setting], ["a", "b", "c"], "y", "id", 5_000, 3, 42).collect()
+    ours = np.mean([r["rmse"] for r in found])
+    fold = boosting.fold_of("id", 42, 3)
+    run = models.run_model(
+        "x", models.boosted_trees("y", **{**setting, "featureSubsetStrategy": "all"}), df.filter(fold != 0), df.filter(fold == 0), "y", features=["a", "b", "c"]
+    )
+    assert run.metrics.first()["RMSE"] == pytest.approx(ours, rel=0.12)
 
 
 def test_default_settings():

@@ -665,8 +665,26 @@ def boosted_trees_metrics(spark, folder):
 def random_search_results(spark, folder):
     train, _ = sample.split_rows(_features(spark, folder)[0], "id")
     settings = models.drawn_settings()
-    _, result = models.random_search(train, settings)
-    return comparable(models.search_table(spark, settings, result))
+    _, found = models.random_search(train, settings)
+    return comparable(models.search_table(spark, settings, found))
+
+
+@query
+def random_search_coverage(spark, folder):
+    """What the search did: trees, rows fitted and rows held out of every setting and fold, and that all were scored."""
+    train, _ = sample.split_rows(_features(spark, folder)[0], "id")
+    settings = models.drawn_settings()
+    best, found = models.random_search(train, settings)
+    least = models.mean_errors(found).agg(F.min_by("setting", "mean_rmse")).first()[0]
+    return found.select(
+        "setting",
+        "fold",
+        "trees",
+        "trained_rows",
+        "validated_rows",
+        F.coalesce(F.col("rmse") > 0, F.lit(False)).cast("int").alias("scored"),
+        F.lit(int(settings[least] == best)).alias("best_is_least"),
+    )
 
 
 @query

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from tripforge.operators import models
 from tripforge.schema import (
     CATEGORY_LEVELS,
     CORRELATION_COLUMNS,
@@ -377,6 +378,10 @@ def statements() -> dict[str, str]:
         )
         for day in range(7)
     )
+    searched = " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS setting, CAST({drawn['maxIter']} AS INTEGER) AS trees"
+        for i, drawn in enumerate(models.drawn_settings())
+    )
     lineitem = [
         "l_orderkey",
         "l_partkey",
@@ -540,6 +545,17 @@ def statements() -> dict[str, str]:
             {r('distance_km')} AS distance_km FROM enriched WHERE isfinite(distance_km)"""
         ),
         "merged_sample": _sql("SELECT id FROM valid ORDER BY md5(id || '|42') LIMIT 1500"),
+        "random_search_coverage": _sql(
+            f"""SELECT setting, fold, trees,
+                CAST(count(*) FILTER (WHERE own <> fold) AS BIGINT) AS trained_rows,
+                CAST(count(*) FILTER (WHERE own = fold) AS BIGINT) AS validated_rows, 1 AS scored, 1 AS best_is_least
+            FROM ({searched}) CROSS JOIN (SELECT CAST(unnest(range({models.SEARCH_FOLDS})) AS INTEGER) AS fold)
+            CROSS JOIN (SELECT CAST(('0x' || substr(md5(id || '|42'), 17, 8))::BIGINT % {models.SEARCH_FOLDS} AS INTEGER) AS own
+                FROM train_rows ORDER BY md5(id || '|42') LIMIT {models.SEARCH_ROWS})
+            GROUP BY setting, fold, trees""",
+            **_BASE,
+            **_TRAIN,
+        ),
         "fixed_size_sample": _sql("SELECT id FROM valid ORDER BY md5(id || '|42') LIMIT 2000"),
         "hashed_split": _sql(split.format(_HASH)),
         "exact_split": _sql(
