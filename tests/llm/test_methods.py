@@ -13,7 +13,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from tripforge.llm import bpe, counting, fuse, mixing, neardup, paragraphs, quality, secrets, sharding, substrings
+from tripforge.llm import bands, bpe, counting, fuse, mixing, neardup, paragraphs, quality, secrets, sharding, substrings
 from tripforge.llm.bands import bands_needed
 from tripforge.llm.flat import U64, mixed
 from tripforge.llm.suffixes import equal_runs, smaller_than_successor, suffix_array
@@ -35,7 +35,9 @@ def near_copies(seed=5):
     return rows
 
 
-def test_near_duplicates_match_all_pairs(spark, work):
+@pytest.mark.parametrize("rounds", [0, 1, 5])
+def test_near_duplicates_match_all_pairs(spark, work, monkeypatch, rounds):
+    monkeypatch.setattr(bands, "ROUNDS", rounds)
     rows = near_copies()
     found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), work).collect()
     want = brute.components({i: brute.shingle_set(t) for i, t in rows})
@@ -49,6 +51,25 @@ def test_paragraph_removals_match_all_pairs(spark, work):
     assert {(r.doc_id, r.line): r.removed for r in found} == {k: v != k for k, v in want.items()}
 
 
+def test_what_is_removed_stands_somewhere_else(spark, work):
+    """A passage whose first copy goes with a near-copied line stays in its later place."""
+    line = [f"a{i}" for i in range(800)]
+    passage = [f"p{i}" for i in range(60)]
+    rows = [
+        (1, " ".join(line)),
+        (2, " ".join(line[:300] + passage + line[360:])),
+        (3, " ".join(["x"] * 5 + passage + [f"c{i}" for i in range(40)])),
+        (4, " ".join([f"d{i}" for i in range(40)] + passage)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = paragraphs.removal_counts(docs, work)
+    kept = {r.doc_id: r.text for r in paragraphs.without_repeats(docs, counts).collect()}
+    assert kept[2] == "" and " ".join(passage) in kept[3]
+    assert sum(len(set(passage) & set(t.split())) for t in kept.values()) < 60 + 36
+    left = set(" ".join(kept.values()).split())
+    assert set(" ".join(t for _, t in rows).split()) <= left
+
+
 def test_superminhash_estimates_and_has_less_variance():
     draw, errors = np.random.default_rng(1), []
     for _ in range(200):

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.bands import PERCENT, band_keys, bands_needed, groups
+from tripforge.llm.bands import PERCENT, band_keys, bands_needed, groups, sketches
 from tripforge.llm.flat import lower_case, ragged, shingles, slices
 from tripforge.llm.superminhash import signatures
 from tripforge.session import Workspace
@@ -19,7 +19,7 @@ ROWS = 4
 
 
 def signed(docs: DataFrame, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, number of shingles, a 128-bit digest of the shingle set, and the set's band keys."""
+    """doc_id, number of shingles, a 128-bit digest of the shingle set, and the set's band keys and sketch."""
     bands = bands_needed(rows, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -27,7 +27,8 @@ def signed(docs: DataFrame, rows: int = ROWS, percent: int = PERCENT) -> DataFra
             for part in slices(batch["text"]):
                 values, bounds = shingles(lower_case(part))
                 digests = [xxhash.xxh3_128_digest(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                keys = band_keys(signatures(values, bounds, bands * rows), rows)
+                registers = signatures(values, bounds, bands * rows)
+                keys = band_keys(registers, rows)
                 sizes = np.diff(bounds)
                 ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, bands, 0))))
                 yield pa.RecordBatch.from_arrays(
@@ -36,11 +37,12 @@ def signed(docs: DataFrame, rows: int = ROWS, percent: int = PERCENT) -> DataFra
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.binary()),
                         ragged(keys[sizes > 0].ravel(), ends, pa.int64()),
+                        sketches(registers),
                     ],
-                    ["doc_id", "n_shingles", "digest", "bands"],
+                    ["doc_id", "n_shingles", "digest", "bands", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT) ->
     filled = rows.where("n_shingles > 0")
     classes = work.store(filled.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")), "classes")
     heads = filled.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"])
-    items = work.store(heads.selectExpr("doc_id AS item", "n_shingles AS size", "bands"), "items")
+    items = work.store(heads.selectExpr("doc_id AS item", "n_shingles AS size", "bands", "sketch"), "items")
     texts = docs.select("doc_id", "text")
 
     def sets_of(ids: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.bands import MISS, PERCENT, band_keys, bands_needed, groups
+from tripforge.llm.bands import MISS, PERCENT, band_keys, bands_needed, groups, sketches
 from tripforge.llm.flat import _PLACES, U64, Slice, lower_case, mixed, prefix_sums, ragged, shingles, slices, span_hashes, words
 from tripforge.session import Workspace
 
@@ -122,7 +122,7 @@ def window_starts(hashes: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """doc_id, start, end (in characters) and hash of the windows of each text, wherever its lines break."""
+    """doc_id, start, end (in characters), first and last line, and hash of the windows of each text, wherever its lines break."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,14 +131,18 @@ def windows(docs: DataFrame) -> DataFrame:
                 hashes = span_hashes(prefix_sums(lower_case(part).data), starts, ends)
                 at, made = window_starts(hashes, owner, part.last - part.first)
                 points = np.concatenate(([0], np.cumsum((part.data & 0xC0) != 0x80)))
+                breaks = np.concatenate(([0], np.cumsum(part.data == _NEWLINE)))
                 row = owner[at]
+                above = breaks[part.starts[row]]
+                lines = [breaks[starts[at]] - above, breaks[starts[at + MIN_WORDS - 1]] - above] if len(at) else [at, at]
                 before = points[part.starts[row]]
                 spans = [points[starts[at]] - before, points[ends[at + MIN_WORDS - 1]] - before] if len(at) else [at, at]
                 ids = batch["doc_id"][part.first : part.last].cast(pa.int64())
-                columns = [ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (*spans, made))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "end", "window"])
+                columns = [ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (*spans, *lines, made))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "end", "line", "last_line", "window"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, start long, end long, window long")
+    schema = "doc_id long, start long, end long, line long, last_line long, window long"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def _chosen(values: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +169,8 @@ def signed_paragraphs(docs: DataFrame) -> DataFrame:
                 if not len(long):
                     continue
                 own, ends = _chosen(values, bounds, long)
-                keys = band_keys(minhash(own, ends, bands * rows), rows)
+                registers = minhash(own, ends, bands * rows)
+                keys = band_keys(registers, rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(row[long])),
@@ -174,11 +179,12 @@ def signed_paragraphs(docs: DataFrame) -> DataFrame:
                         pa.array(_items(own, ends), pa.int64()),
                         pa.array(np.diff(ends), pa.int64()),
                         ragged(keys.ravel(), np.arange(len(long) + 1) * bands, pa.int64()),
+                        sketches(registers),
                     ],
-                    ["doc_id", "line", "lines", "item", "size", "bands"],
+                    ["doc_id", "line", "lines", "item", "size", "bands", "sketch"],
                 )
 
-    schema = "doc_id long, line long, lines long, item long, size long, bands array<long>"
+    schema = "doc_id long, line long, lines long, item long, size long, bands array<long>, sketch binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -232,7 +238,7 @@ def repeated_paragraphs(docs: DataFrame, work: Workspace) -> DataFrame:
         found = _paragraph_texts(docs).join(ids, "item")
         return _text_sets(found.groupBy("item").agg(F.min("text").alias("text")))
 
-    roots, _ = groups(signed.select("item", "size", "bands"), sets_of, work)
+    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, work)
     placed = signed.select("doc_id", "line", "lines", "item", _order().alias("place"))
     rooted = placed.join(roots.selectExpr("node AS item", "root"), "item", "left").withColumn("root", F.coalesce("root", "item"))
     rooted = work.store(rooted.drop("item"), "rooted")
@@ -240,7 +246,7 @@ def repeated_paragraphs(docs: DataFrame, work: Workspace) -> DataFrame:
     return rooted.join(first, "root").select("doc_id", "line", "lines", "root", F.expr("place > first").alias("removed"))
 
 
-def repeated_passages(docs: DataFrame, work: Workspace) -> DataFrame:
+def repeated_passages(docs: DataFrame, work: Workspace, marked: DataFrame | None = None) -> DataFrame:
     """(doc_id, passages): per document, the character spans of words that stand in an earlier window too.
 
     A window is 25 words in a row, lower-cased (A-Z), wherever lines break; equal
@@ -249,9 +255,19 @@ def repeated_passages(docs: DataFrame, work: Workspace) -> DataFrame:
     row at least 25 are found. Windows that differ in a word are not compared:
     one changed word inside leaves two windows a similarity of 16 / 26. Ids are
     treated as for paragraphs.
+
+    ``marked`` are the paragraphs of ``repeated_paragraphs``. A window that touches
+    a removed line is never the first of its kind, so what goes as a passage still
+    stands in a line that stays.
     """
     made = work.store(windows(docs).withColumn("place", _order("start")), "windows")
-    first = made.groupBy("window").agg(
+    staying = made
+    if marked is not None:
+        gone = marked.where("removed").select(F.col("doc_id").alias("_id"), F.explode(F.expr("sequence(line, line + lines - 1)")).alias("_line")).distinct()
+        each = made.select("doc_id", "place", F.explode(F.expr("sequence(line, last_line)")).alias("line"))
+        lost = each.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("line") == F.col("_line")), "left_semi")
+        staying = made.join(lost.select("place"), "place", "left_anti")
+    first = staying.groupBy("window").agg(
         F.min("place").alias("first"), F.max("place").alias("last"), F.min_by(F.col("end") - F.col("start"), F.col("place")).alias("length")
     )
     first = work.store(first.where("first < last").drop("last"), "repeated-windows")
@@ -283,14 +299,14 @@ def removal_counts(docs: DataFrame, work: Workspace) -> DataFrame:
 
     Passages are spans of characters of the text, in removed lines and in others.
     """
-    marked = repeated_paragraphs(docs, work).distinct()
+    marked = work.store(repeated_paragraphs(docs, work).distinct(), "marked")
     gone = F.expr("sequence(line, line + lines - 1)")
     per_doc = marked.groupBy(F.col("doc_id").alias("_id")).agg(
         F.count("*").alias("n_paragraphs"),
         F.count_if("removed").alias("n_removed"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("removed"), gone))))).alias("removed_lines"),
     )
-    passages = repeated_passages(docs, work).select(F.col("doc_id").alias("_own"), F.col("passages").alias("removed_passages"))
+    passages = repeated_passages(docs, work, marked).select(F.col("doc_id").alias("_own"), F.col("passages").alias("removed_passages"))
     joined = docs.select("doc_id").join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     joined = joined.join(passages, F.col("doc_id").eqNullSafe(F.col("_own")), "left")
     none = F.array().cast("array<long>")
