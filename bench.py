@@ -37,12 +37,18 @@ HEADLINE = [
     "rush_hour_summary",
     "distance_histogram",
     "price_quantiles",
+    "price_quantiles_by_part",
+    "frequent_line_keys",
+    "report_of_loads",
     "feature_rows",
     "fixed_size_sample",
     "exact_split",
+    "merged_sample",
+    "feature_numbers",
     "model_comparison",
     "largest_errors",
     "drift_metrics",
+    "drift_by_weekday",
     "formula_durations",
     "linear_regression_metrics",
 ]

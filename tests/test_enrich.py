@@ -135,7 +135,7 @@ def test_haversine(spark):
 
 
 def test_trips_that_go_nowhere_are_dropped(spark):
-    still = trip(id="still", dropoff_longitude="-73.98", dropoff_latitude="40.75")
+    still = trip(id="still", dropoff_longitude="-73.871", dropoff_latitude="40.774")
     trips = validate.valid_trips(trip_table(spark, trip(), still))
     assert [r["id"] for r in enrich.enriched_trips(trips).collect()] == ["t1"]
 

@@ -212,3 +212,38 @@ def test_files_with_another_order_of_columns_fail(spark, tmp_path):
 def test_nothing_valid_to_prepare(spark):
     with pytest.raises(ValueError, match="no valid trip"):
         preparation.prepare(trip_table(spark, trip(trip_duration="-1")))
+
+
+def test_prepare_files_validates_once_and_reports(spark, small_tables, tmp_path):
+    files.write_table(driver_tables.text_trips(spark, small_tables), str(tmp_path / "trips"), "csv")
+    files.write_table(driver_tables.exported_weather(spark, small_tables), str(tmp_path / "weather"), "csv")
+    prepared = preparation.prepare_files(spark, str(tmp_path / "trips"), str(tmp_path / "weather"), str(tmp_path / "out"))
+    written = spark.read.json(str(tmp_path / "out" / "validation_report")).first().asDict()
+    assert written == prepared.report.first().asDict() and written["status"] == "passed"
+    assert spark.read.parquet(str(tmp_path / "out" / "processed")).count() == prepared.processed.count() > 0
+
+
+def test_prepare_files_refuses_a_table_without_a_valid_row(spark, tmp_path):
+    files.write_table(trip_table(spark, trip(vendor_id="8")), str(tmp_path / "trips"), "csv")
+    with pytest.raises(InvalidTable, match="removed every row"):
+        preparation.prepare_files(spark, str(tmp_path / "trips"), str(tmp_path / "none"), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out" / "validation_report")).first()["status"] == "failed"
+
+
+def test_exploratory_report_is_written(spark, small_tables, tmp_path):
+    raw = driver_tables.text_trips(spark, small_tables)
+    reports.write_exploratory_report(raw, str(tmp_path))
+    shape = spark.read.option("header", True).csv(str(tmp_path / "shape")).first()
+    assert int(shape["row_count"]) == raw.count()
+    summary = spark.read.option("header", True).csv(str(tmp_path / "correlation_matrix"))
+    assert summary.count() == len(summary.columns) - 1 > 5
+
+
+def test_times_are_refused_in_another_zone(spark, tmp_path):
+    files.write_table(trip_table(spark, trip()), str(tmp_path / "trips"), "csv")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(RuntimeError, match="UTC"):
+            files.read_trips(spark, str(tmp_path / "trips"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -28,7 +28,7 @@ def test_absent_columns_are_named_in_order(spark):
 @pytest.mark.parametrize(
     ("changes", "rule"),
     [
-        ({"dropoff_datetime": "2016-01-01 07:59:59"}, "invalid_timestamp_rows"),
+        ({"dropoff_datetime": "2019-11-23 06:41:19"}, "invalid_timestamp_rows"),
         ({"dropoff_datetime": None}, "invalid_timestamp_rows"),
         ({"pickup_latitude": "90.01"}, "invalid_coordinate_rows"),
         ({"dropoff_longitude": "-180.5"}, "invalid_coordinate_rows"),
@@ -50,7 +50,7 @@ def test_each_rule(spark, changes, rule):
 @pytest.mark.parametrize(
     "changes",
     [
-        {"dropoff_datetime": "2016-01-01 08:00:00"},
+        {"dropoff_datetime": "2019-11-23 06:41:20"},
         {"pickup_latitude": "90"},
         {"dropoff_longitude": "-180"},
         {"trip_duration": "0"},
@@ -62,7 +62,7 @@ def test_limits_are_valid(spark, changes):
 
 
 def test_duplicates_are_counted_on_text_and_dropped_after_coercion(spark):
-    raw = trip_table(spark, trip(), trip(), trip(passenger_count="1.0"))
+    raw = trip_table(spark, trip(), trip(), trip(passenger_count="3.0"))
     found = report(raw)
     assert found["duplicate_rows"] == 1
     assert found["output_rows"] == 1

@@ -71,6 +71,13 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Raise where times would be read in another zone than UTC, which would shift hours and dates."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise RuntimeError(f"times are UTC: set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

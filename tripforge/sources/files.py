@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripforge.operators.validate import CheckedTrips, check_trips, require_columns
 from tripforge.schema import FEATURE_COLUMNS, FEATURE_DESCRIPTIONS, METADATA_SCHEMA, TARGET, TRIP_COLUMNS, text_schema
+from tripforge.session import require_utc
 
 
 def csv_columns(spark: SparkSession, path: str) -> list[str]:
@@ -50,7 +51,9 @@ def read_text_table(spark: SparkSession, path: str) -> DataFrame:
 
     Fields that hold a marker of a missing value are NULL. Files of one folder
     must share their header; another order of columns fails when it is read.
+    Times are UTC, so a session in another zone is refused.
     """
+    require_utc(spark)
     schema = text_schema(csv_columns(spark, path))
     return without_markers(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
 

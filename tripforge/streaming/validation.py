@@ -8,11 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tripforge.operators.accepted import AcceptedTrips
 from tripforge.operators.validate import require_columns
 from tripforge.schema import TRIP_COLUMNS, text_schema
+from tripforge.session import require_utc
 from tripforge.sources.files import without_markers
 
 
 def arriving_trips(spark: SparkSession, folder: str, files_per_batch: int = 1_000) -> DataFrame:
     """A stream of the CSV files of a folder, every column as text. Files share the trip table's header."""
+    require_utc(spark)
     reader = spark.readStream.schema(text_schema(TRIP_COLUMNS)).option("header", True).option("enforceSchema", False)
     return without_markers(reader.option("maxFilesPerTrigger", files_per_batch).csv(folder))
 
