@@ -149,3 +149,16 @@ def test_long_value_counts_agree_with_short_ones(spark, monkeypatch):
     short = profile.value_counts(df, top=50).collect()
     monkeypatch.setattr(profile, "SHORT_LIST", 10)
     assert sorted(map(tuple, profile.value_counts(df, top=50).collect())) == sorted(map(tuple, short))
+
+
+def test_correlations_keep_digits_beside_large_means(spark):
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"a": 1e9 + rng.normal(0, 1, 800), "b": rng.normal(0, 1, 800)})
+    pdf["c"] = pdf["a"] - 1e9 + pdf["b"]
+    pdf.loc[::7, "b"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(6)
+    found = {r["column"]: r.asDict() for r in profile.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    want = pdf.corr()
+    for x in "abc":
+        for y in "abc":
+            assert found[x][y] == pytest.approx(want[x][y], abs=1e-7)

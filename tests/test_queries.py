@@ -13,7 +13,6 @@ WITHOUT_SQL = {
     "boosted_trees_metrics",
     "dataset_manifest",
     "linear_regression_metrics",
-    "preview",
     "random_forest_metrics",
     "random_search_results",
     "scored_requests",
@@ -36,7 +35,7 @@ def test_same_result_as_sql(spark, con, small_tables, name):
     assert compare.difference(QUERIES[name](spark, small_tables), con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", ["linear_regression_metrics", "dataset_manifest", "scored_requests", "preview"])
+@pytest.mark.parametrize("name", ["linear_regression_metrics", "dataset_manifest", "scored_requests"])
 def test_others_give_rows(spark, small_tables, name):
     assert QUERIES[name](spark, small_tables).count() > 0
 

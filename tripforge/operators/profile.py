@@ -38,9 +38,9 @@ def row_and_column_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("column_count", F.lit(len(df.columns)))
 
 
-def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """A preview: any ``n`` rows, which is the point of it."""
-    return df.limit(n)
+def first_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """A preview: the first ``n`` rows in an order, or any ``n`` rows; either way a task sends ``n`` rows at most."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
@@ -131,64 +131,45 @@ def city_distances(df: DataFrame) -> DataFrame:
     return with_distance(in_city(coerced(df, GPS_COLUMNS)))
 
 
-def _pair_sums(a: str, b: str, pair: str, masked: bool) -> list[str]:
-    """Sums of two centred columns over the rows where both are present."""
-    sums = [f"sum({a} * {b}) AS xy{pair}"]
-    if masked:
-        sums.append(f"count({a} + {b}) AS n{pair}")
-        for side, own, other in (("x", a, b), ("y", b, a)):
-            value = f"CASE WHEN {other} IS NOT NULL THEN {own} END"
-            sums += [
-                f"sum({value}) AS {side}{pair}",
-                f"sum(({value}) * {own}) AS {side}{side}{pair}",
-                f"min({value}) = max({value}) AS flat{side}{pair}",
-            ]
-    return sums
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS) -> DataFrame:
     """Pearson correlations over the rows where both columns are present.
 
     Columns that are absent or have no value are left out; a constant column
-    gives NULL. A first pass finds the means, a second adds up products of the
-    centred columns: plain sums for all pairs at once, with separate row counts
-    only for pairs in which a value is missing somewhere.
+    gives NULL. One scan: a row gives each pair of columns its two values, and the
+    co-moments of a pair are built around running means and merged, within tasks
+    first. So nothing has to be centred beforehand, and large means cost no digits.
     """
     present = [c for c in columns if c in df.columns]
     numbers = coerced(df, present).select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(present)])
-    first = ["count(*) AS rows"]
-    for i in range(len(present)):
-        first += [f"count(c{i}) AS n{i}", f"avg(c{i}) AS m{i}", f"min(c{i}) = max(c{i}) AS flat{i}"]
-    known = numbers.agg(*[F.expr(e) for e in first]).first()
-    used = [i for i in range(len(present)) if known[f"n{i}"]]
+    pairs = [
+        {"i": str(i), "j": str(j), "x": f"c{i}", "y": f"c{j}"} for i in range(len(present)) for j in range(i, len(present))
+    ]
+    moments = (
+        numbers.selectExpr(sql.rows(pairs))
+        .filter("x IS NOT NULL AND y IS NOT NULL")
+        .groupBy("i", "j")
+        .agg(
+            F.covar_pop("x", "y").alias("both"),
+            F.stddev_pop("x").alias("sx"),
+            F.stddev_pop("y").alias("sy"),
+            F.expr("min(x) = max(x) OR min(y) = max(y)").alias("flat"),
+        )
+    )
+    known = {(r["i"], r["j"]): r for r in moments.collect()}  # a row for each pair of columns
+    used = [i for i in range(len(present)) if (i, i) in known]
     if len(used) < 2:
         raise ValueError("a correlation matrix needs two columns with values")
-    full = {i: known[f"n{i}"] == known["rows"] for i in used}
-    centred = numbers.selectExpr(*[f"c{i} - {sql.double(known[f'm{i}'])} AS c{i}" for i in used])
-    sums = []
-    for place, i in enumerate(used):
-        sums += [f"sum(c{i}) AS s{i}", f"sum(c{i} * c{i}) AS ss{i}"]
-        for j in used[place + 1 :]:
-            sums += _pair_sums(f"c{i}", f"c{j}", f"{i}_{j}", not (full[i] and full[j]))
-
-    def entry(i: int, j: int) -> str:
-        i, j = min(i, j), max(i, j)
-        if i == j:
-            return sql.double(None if known[f"flat{i}"] else 1.0)
-        pair = f"{i}_{j}"
-        if full[i] and full[j]:
-            if known[f"flat{i}"] or known[f"flat{j}"]:
-                return sql.double(None)
-            flat, n, x, y, xx, yy = "false", f"{known['rows']}L", f"s{i}", f"s{j}", f"ss{i}", f"ss{j}"
-        else:
-            flat = f"flatx{pair} OR flaty{pair}"
-            n, x, y, xx, yy = f"n{pair}", f"x{pair}", f"y{pair}", f"xx{pair}", f"yy{pair}"
-        covariance = f"xy{pair} - try_divide({x} * {y}, {n})"
-        spread = f"sqrt({xx} - try_divide({x} * {x}, {n})) * sqrt({yy} - try_divide({y} * {y}, {n}))"
-        return f"CASE WHEN NOT ({flat}) THEN try_divide({covariance}, {spread}) END"
-
-    matrix = [{"column": sql.text(present[i]), **{present[j]: entry(i, j) for j in used}} for i in used]
-    return centred.agg(*[F.expr(e) for e in sums]).selectExpr(sql.rows(matrix))
+
+    def entry(i: int, j: int) -> float | None:
+        found = known.get((min(i, j), max(i, j)))
+        if found is None or found["flat"] or not found["sx"] * found["sy"]:
+            return None
+        return 1.0 if i == j else found["both"] / (found["sx"] * found["sy"])
+
+    schema = T.StructType(
+        [T.StructField("column", T.StringType()), *[T.StructField(present[i], T.DoubleType()) for i in used]]
+    )
+    return df.sparkSession.createDataFrame([(present[i], *[entry(i, j) for j in used]) for i in used], schema)
 
 
 def moved_trips_in_minutes(df: DataFrame, target: str = "trip_duration") -> DataFrame:

@@ -469,7 +469,7 @@ def feature_numbers(spark, folder):
 
 @query
 def preview(spark, folder):
-    return comparable(profile.first_rows(tables.trips(spark, folder), 10))
+    return comparable(profile.first_rows(_checked(spark, folder), 10, ["id"]))
 
 
 # --- samples and splits --------------------------------------------------------

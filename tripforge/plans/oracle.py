@@ -545,6 +545,7 @@ def statements() -> dict[str, str]:
             {r('distance_km')} AS distance_km FROM enriched WHERE isfinite(distance_km)"""
         ),
         "merged_sample": _sql("SELECT id FROM valid ORDER BY md5(id || '|42') LIMIT 1500"),
+        "preview": _sql(f"SELECT * FROM ({_trip_row('valid')}) ORDER BY id LIMIT 10"),
         "random_search_coverage": _sql(
             f"""SELECT setting, fold, trees,
                 CAST(count(*) FILTER (WHERE own <> fold) AS BIGINT) AS trained_rows,
