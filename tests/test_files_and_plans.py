@@ -140,13 +140,13 @@ def test_files_are_hashed_in_blocks_whatever_their_length_and_name(spark, tmp_pa
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
     rows = manifest.file_hashes(spark, str(tmp_path), block_bytes=64).collect()
-    assert {(r["bytes"], r["sha256"]) for r in rows} == {(len(c), hashlib.sha256(c).hexdigest()) for c in contents.values() if c}
+    assert {(r["bytes"], r["sha256"]) for r in rows} == {(len(c), hashlib.sha256(c).hexdigest()) for c in contents.values()}
 
 
 def test_a_scheme_that_cannot_be_streamed_is_named():
-    hasher = manifest._block_hasher(64)
+    hasher = manifest._hasher(64)
     with pytest.raises(ValueError, match="no reader for the scheme of odd://x/y"):
-        list(hasher([pd.DataFrame({"file": ["odd://x/y"], "bytes": [1]})]))
+        list(hasher([pd.DataFrame({"file": ["odd://x/y"], "start": [0], "bytes": [1]})]))
 
 
 def test_fingerprint_ignores_order(spark):
@@ -247,3 +247,31 @@ def test_times_are_refused_in_another_zone(spark, tmp_path):
             files.read_trips(spark, str(tmp_path / "trips"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_blocks_and_trees_of_files(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    bodies = {"empty.bin": b"", "one.bin": b"x" * 10, "long.bin": bytes(i % 251 for i in range(1_000))}
+    for name, body in bodies.items():
+        (folder / name).write_bytes(body)
+    hashes = {Path(r["file"]).name: r for r in manifest.file_hashes(spark, str(folder), 64).collect()}
+    assert {n: (r["bytes"], r["sha256"]) for n, r in hashes.items()} == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items()}
+    before = stored(manifest.block_hashes(spark, str(folder), 64), "blocks")
+    rows = sorted((Path(r["file"]).name, r["block"], r["bytes"], r["sha256"]) for r in before.collect())
+    want = [(n, i, len(b[i * 64 : i * 64 + 64]), hashlib.sha256(b[i * 64 : i * 64 + 64]).hexdigest()) for n, b in bodies.items() for i in range(max(1, -(-len(b) // 64)))]
+    assert rows == sorted(want)
+
+    def root(digests, fanout):
+        while True:
+            digests = [hashlib.sha256("".join(digests[i : i + fanout]).encode()).hexdigest() for i in range(0, len(digests), fanout)]
+            if len(digests) == 1:
+                return digests[0]
+
+    trees = {Path(r["file"]).name: r["tree_sha256"] for r in manifest.file_trees(before, fanout=16).collect()}
+    assert trees == {n: root([w[3] for w in want if w[0] == n], 16) for n in bodies}
+    body = bytearray(bodies["long.bin"])
+    body[700] ^= 1
+    (folder / "long.bin").write_bytes(body + b"more" * 30)
+    changed = manifest.changed_blocks(before, manifest.block_hashes(spark, str(folder), 64)).collect()
+    assert sorted((Path(r["file"]).name, r["block"]) for r in changed) == [("long.bin", b) for b in (10, 15, 16, 17)]

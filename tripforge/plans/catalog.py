@@ -716,3 +716,10 @@ def dataset_manifest(spark, folder):
         "table_rows",
         "table_fingerprint",
     )
+
+
+@query
+def dataset_blocks(spark, folder):
+    """A table's files in blocks of 64 KiB: per file its bytes, blocks and the root of the tree over them."""
+    blocks = stored(manifest.block_hashes(spark, f"{folder}/events.parquet", 1 << 16), "blocks")
+    return manifest.file_trees(blocks, fanout=4).withColumn("file", F.element_at(F.split("file", "/"), -1))
