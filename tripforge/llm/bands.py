@@ -118,7 +118,7 @@ def _rare_first(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 #: Times that the items of a bucket are compared with one of them; what is still open then meets by rare values.
-ROUNDS = 5
+ROUNDS = 2
 
 
 def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Workspace, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
