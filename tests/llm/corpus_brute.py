@@ -1,7 +1,9 @@
 """Plain restatements of the corpus operators on small inputs."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 
 def shingle_set(text):
@@ -44,9 +46,57 @@ def removed(rows, length=100):
     return out
 
 
-def secret_base(text):
+def secret_matches(text):
+    """(start, kind number, end) of the base spans, in order."""
     assign = r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 8]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
-    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+    return sorted(found)
+
+
+def joined_spans(found):
+    return ",".join(f"{('assign', 'access', 'hex', 'entropy')[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def secret_base(text):
+    return joined_spans(secret_matches(text))
+
+
+def bits(text):
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
+
+
+def secret_spans(text, bars, allowed, window=20):
+    """All spans of a text, every window's entropy computed afresh."""
+    found = secret_matches(text)
+    for candidate in re.finditer("[A-Za-z0-9+/=_-]+", text):
+        free, (low, high) = [], candidate.span()
+        for start, end in [*sorted((a, b) for a, _, b in found if a < high and b > low), (high, high)]:
+            if start - low >= window:
+                free.append((low, start))
+            low = max(low, end)
+        for low, high in free:
+            own = text[low:high]
+            pieces = [m.span() for m in re.finditer("[^=/]+", own)]
+            spans = []
+            for a, b in {(0, len(own)), *pieces}:
+                kinds = (("digits", "[0-9]+"), ("hex", "[0-9a-f]+|[0-9A-F]+"), ("letters", "[A-Za-z]+"), ("alphanumeric", "[A-Za-z0-9]+"))
+                kind = next((k for k, p in kinds if re.fullmatch(p, own[a:b])), "base64")
+                dense = {j for i in range(a, b - window + 1) if bits(own[i : i + window]) >= bars[kind] - 1e-9 for j in range(i, i + window)}
+                # Windows that touch without overlapping form one span.
+                spans += [(min(run), max(run) + 1) for run in runs(dense)]
+            spans = [x for x in spans if not all(any(re.fullmatch(p, own[a:b]) for p in allowed) for a, b in pieces if a < x[1] and b > x[0])]
+            covered = {i for a, b in spans for i in range(a, b)}
+            found += [(low + min(run), 3, low + max(run) + 1) for run in runs(covered)]
+    return found
+
+
+def runs(places):
+    out = []
+    for i in sorted(places):
+        if out and out[-1][-1] == i - 1:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out

@@ -21,14 +21,15 @@ ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 8, 16, 32
 
 #: Length of the entropy window, which is also the least length of a candidate.
 WINDOW = 20
-#: Bits a character that a window must reach, by the narrowest class that holds the whole candidate.
-MIN_BITS = {"digits": 9.0, "hex": 3.2, "letters": 4.1, "alphanumeric": 3.7, "base64": 3.7}
-#: Candidates that look random but are known not to be secrets.
+#: Bits a character that a window must reach, by the narrowest class that holds the whole string.
+MIN_BITS = {"digits": 2.8, "hex": 3.2, "letters": 3.65, "alphanumeric": 3.7, "base64": 3.7}
+#: Pieces of candidates that are known not to be secrets; the last is a plain word.
 ALLOWED = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
     r"(?i:.*(?:example|sample|dummy|placeholder|changeme).*)",
     r"[a-z]+(?:[-_/][a-z]+)+",
-    r"(?:ABCDEFGHIJKLMNOPQRSTUVWXYZ|abcdefghijklmnopqrstuvwxyz|0123456789)+[+/]*",
+    r"(?:ABCDEFGHIJKLMNOPQRSTUVWXYZ|abcdefghijklmnopqrstuvwxyz|0123456789)+\+*",
+    r"[a-z]{0,19}",
 )
 
 _HEX = np.zeros(256, bool)
@@ -41,6 +42,7 @@ _CLASSES = (
     ("letters", re.compile(r"[A-Za-z]+")),
     ("alphanumeric", re.compile(r"[A-Za-z0-9]+")),
 )
+_PIECE = re.compile(r"[^=/]+")
 _PART = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
@@ -74,6 +76,27 @@ def dense_spans(text: str, bar: float | None = None) -> list[tuple[int, int]]:
     return spans
 
 
+def suspicious(text: str, allowed: re.Pattern) -> list[tuple[int, int]]:
+    """Dense spans of a string and of its pieces between ``=`` and ``/``, each by the bar of its own class.
+
+    A span goes where every piece it touches is on the allow list, so a name
+    beside a secret, or a folder before it, hides nothing.
+    """
+    pieces = [(m.start(), m.end()) for m in _PIECE.finditer(text)]
+    spans = dense_spans(text)
+    if len(pieces) > 1:
+        spans += [(a + x, a + y) for a, b in pieces if b - a >= WINDOW for x, y in dense_spans(text[a:b])]
+    joined: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if all(allowed.fullmatch(text[a:b]) for a, b in pieces if a < end and b > start):
+            continue
+        if joined and start <= joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(end, joined[-1][1]))
+        else:
+            joined.append((start, end))
+    return joined
+
+
 def _runs(inside: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Byte spans of maximal runs within one text each."""
     if not len(inside):
@@ -94,12 +117,10 @@ def text_spans(text: str, hex_runs: list[tuple[int, int]], candidates: list[tupl
     found += [(a, b, 2) for a, b in hex_runs]
     base = sorted(found, key=lambda x: (x[0], x[2]))
     for a, b in candidates:
-        if allowed.fullmatch(text[a:b]):
-            continue
-        bar, at = MIN_BITS[class_of(text[a:b])], a
+        at = a
         for start, end in [*((x[0], x[1]) for x in base if x[0] < b and x[1] > a), (b, b)]:
             if start - at >= WINDOW:
-                found += [(at + x, at + y, 3) for x, y in dense_spans(text[at:start], bar)]
+                found += [(at + x, at + y, 3) for x, y in suspicious(text[at:start], allowed)]
             at = max(at, end)
     return sorted(found, key=lambda x: (x[0], x[2]))
 
@@ -112,8 +133,8 @@ def secret_spans(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFra
     """One row per document: counts of the base kinds, a digest of the base spans, and all spans.
 
     A pattern's span is its whole match. ``entropy`` spans are added where a
-    string of 20 or more letters, digits and ``+/=_-`` isn't on the allow list and
-    has a dense window beside its base spans. A null or empty text has no
+    string of 20 or more letters, digits and ``+/=_-`` has a dense window beside
+    its base spans, in a piece that isn't on the allow list. A null or empty text has no
     spans. Other columns are ignored and repeated rows are scanned alike. The
     operator works row by row, so nothing is shuffled.
     """
