@@ -1,7 +1,9 @@
 """Every operator and stage on awkward rows and on an empty table."""
 
+import corpus_brute as brute
 import public_tokenizers
 import pytest
+import regex
 
 import corpus_pipeline
 from tripforge.llm import bpe, counting, exact, mixing, neardup, paragraphs, quality, secrets, sharding, substrings
@@ -60,6 +62,27 @@ def test_sections_add_up(awkward, vocabulary):
     assert {(r[0], r[1]) for r in parts.collect()} == whole
 
 
+def test_sections_of_awkward_texts(spark, nothing, vocabulary):
+    """Texts end to end: empty ones, ones that end in line breaks, runs of breaks in one token."""
+    texts = ["", "\n", "a\n", None, "", "x\n\n\n\n\ny", "\n\n", "é\né\n\n ü" * 3, "", "last\n\n\n", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {}
+    for r in counting.section_tokens(docs, vocabulary).collect():
+        got.setdefault(r.doc_id, []).append((r.start_char, r.end_char, r.n_tokens, r.n_crossing))
+    split = regex.compile(vocabulary.pattern)
+    for key, text in enumerate(texts):
+        pieces = [vocabulary.tokens[x] for x in bpe.encode([text or ""], vocabulary, split)[0]]
+        assert got[key] == brute.sections(text or "", pieces)
+    assert counting.section_tokens(nothing, vocabulary).collect() == []
+
+
+def test_long_chunks_are_not_remembered(vocabulary):
+    split = regex.compile(vocabulary.pattern)
+    texts = ["z" * 5_000, "short words", "z" * 5_000]
+    assert bpe.encode(texts, vocabulary, split)[0] == bpe.encode(texts[2:], vocabulary, split)[0]
+    assert all(len(chunk) <= bpe.LONGEST for chunk in vocabulary.chunks)
+
+
 def test_mixing_covers_null_sources_and_repeated_rows(awkward, nothing, spark):
     copies = mixing.mixed_copies(awkward, epochs=3.0).collect()
     per_row = {}
@@ -79,3 +102,18 @@ def test_stages(spark, awkward, nothing, number):
         assert rows.columns == docs.columns
     assert rows.count() > 0 or number == 0
     assert stage(spark, nothing.withColumnRenamed("band", "kept"), "").count() == 0
+
+
+def test_rows_without_an_id_take_part_in_near_dedup(spark):
+    """Near copies go whether or not they have an id; of a group the row with the smallest id stays."""
+    words = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    rows = [
+        (1, " ".join(words)), (None, " ".join(words + ["more"])), (None, " ".join(words[1:])), (None, " ".join(other)),
+        (None, " ".join(other + ["x"])), (None, "alone " * 9), (None, None), (2, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert (1, rows[0][1]) in left and rows[1] not in left and rows[2] not in left
+    assert len([x for x in left if x in rows[3:5]]) == 1
+    assert rows[5] in left and rows[6] in left and rows[7] in left

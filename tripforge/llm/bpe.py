@@ -20,6 +20,8 @@ from tripforge.llm.flat import slices
 
 #: Encoded chunks that a task remembers before it starts afresh; bounds memory, changes no result.
 REMEMBERED = 400_000
+#: Characters of the longest chunk that is remembered, so that the bound above also bounds bytes.
+LONGEST = 64
 #: Bytes of texts whose distinct pre-tokens are looked up together.
 TEXTS_TOGETHER = 1 << 21
 
@@ -138,7 +140,11 @@ def encode(texts: list[str], vocabulary: Vocabulary, split: regex.Pattern) -> li
     }
     for chunk, own in zip(new, pieces, strict=True):
         known[chunk] = ids_of[own[0]] if len(own) == 1 else [x for piece in own for x in ids_of[piece]]
-    return [list(chain.from_iterable(map(known.__getitem__, chunks))) for chunks in parts]
+    out = [list(chain.from_iterable(map(known.__getitem__, chunks))) for chunks in parts]
+    for chunk in new:
+        if len(chunk) > LONGEST:
+            del known[chunk]
+    return out
 
 
 def decode(ids: list[int], vocabulary: Vocabulary) -> bytes:

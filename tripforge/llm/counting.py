@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,23 +15,6 @@ from tripforge.llm.bpe import Vocabulary, encode, split_texts
 SECTIONS = "doc_id long, section long, start_char long, end_char long, n_tokens long, n_crossing long"
 
 
-def line_starts(text: str) -> np.ndarray:
-    """Character at which each line starts; a line break belongs to the line it ends. A text has one line at least."""
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    return np.concatenate(([0], np.flatnonzero(points == 10) + 1))
-
-
-def token_spans(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last character (end exclusive) of each token, whose byte lengths are given.
-
-    A token that holds part of a character's bytes spans that whole character.
-    """
-    data = np.frombuffer(text.encode(), np.uint8)
-    char_of = np.cumsum((data & 0xC0) != 0x80) - 1
-    ends = np.cumsum(lengths)
-    return char_of[ends - lengths], char_of[ends - 1] + 1
-
-
 def attribute(first: np.ndarray, last: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Section of each token, and whether it crosses a boundary.
 
@@ -42,7 +26,9 @@ def attribute(first: np.ndarray, last: np.ndarray, starts: np.ndarray, size: int
     high = np.searchsorted(starts, last - 1, "right") - 1
     owner = low.copy()
     ends = np.append(starts[1:], size)
-    for token in np.flatnonzero(high > low):
+    two = np.flatnonzero(high == low + 1)
+    owner[two] += last[two] - starts[high[two]] > ends[low[two]] - first[two]
+    for token in np.flatnonzero(high > low + 1):
         held = np.minimum(ends[low[token] : high[token] + 1], last[token]) - np.maximum(starts[low[token] : high[token] + 1], first[token])
         owner[token] += int(held.argmax())
     return owner, high > low
@@ -71,20 +57,34 @@ def section_tokens(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _sections(ids: pa.Array, texts: list[str], words: Vocabulary, split: regex.Pattern, sizes: np.ndarray) -> pa.RecordBatch:
-    columns: list[list[np.ndarray]] = [[] for _ in range(5)]
-    rows = []
-    for text, tokens in zip(texts, encode(texts, words, split), strict=True):
-        starts = line_starts(text)
-        ends = np.append(starts[1:], len(text))
-        spans = token_spans(text, sizes[np.array(tokens, np.int64)]) if tokens else (np.zeros(0, np.int64),) * 2
-        owner, crossing = attribute(*spans, starts, len(text))
-        rows.append(len(starts))
-        for column, values in zip(
-            columns,
-            (np.arange(len(starts)), starts, ends, np.bincount(owner, minlength=len(starts)), np.bincount(owner, weights=crossing, minlength=len(starts))),
-            strict=True,
-        ):
-            column.append(values.astype(np.int64))
-    which = pa.array(np.repeat(np.arange(len(texts)), rows))
-    arrays = [ids.cast(pa.int64()).take(which), *(pa.array(np.concatenate(x)) for x in columns)]
+    """Sections of a slice of texts, all laid end to end: no token and no section reaches over the end of a text.
+
+    A token that holds part of a character's bytes spans that whole character.
+    """
+    tokens = np.fromiter(chain.from_iterable(encode(texts, words, split)), np.int64)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    char_of = np.cumsum((data & 0xC0) != 0x80) - 1
+    total = int(char_of[-1]) + 1 if len(data) else 0
+    lengths = sizes[tokens]
+    until = np.cumsum(lengths)
+    # A line break belongs to the line it ends, and a text has one line at least: one that ends in a break has an empty
+    # line after it, at the place where the next text starts. Of sections at one place only the last has characters.
+    begins = np.concatenate(([0], np.cumsum([len(text) for text in texts]))).astype(np.int64)
+    after = char_of[data == 10] + 1
+    own = np.searchsorted(begins, after - 1, "right") - 1
+    starts, text = np.concatenate((begins[:-1], after)), np.concatenate((np.arange(len(texts)), own))
+    order = np.lexsort((starts, text))
+    starts, text = starts[order], text[order]
+    owner, crossing = attribute(char_of[until - lengths], char_of[until - 1] + 1, starts, total)
+    ends = np.where(np.append(text[1:], -1) == text, np.append(starts[1:], total), begins[text + 1])
+    first = np.searchsorted(text, np.arange(len(texts)))
+    count = len(starts)
+    columns = [
+        np.arange(count) - first[text],
+        starts - begins[text],
+        ends - begins[text],
+        np.bincount(owner, minlength=count),
+        np.bincount(owner[crossing], minlength=count),
+    ]
+    arrays = [ids.cast(pa.int64()).take(pa.array(text)), *(pa.array(x.astype(np.int64)) for x in columns)]
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "section", "start_char", "end_char", "n_tokens", "n_crossing"])
