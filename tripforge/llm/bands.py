@@ -121,12 +121,15 @@ def _rare_first(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 ROUNDS = 2
 
 
-def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Workspace, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def groups(
+    items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Workspace, percent: int = PERCENT, once: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Components of items linked by exact similarity: ``(roots, links)``.
 
     ``items`` has a long ``item``, its set's ``size``, its ``bands`` and its
     ``sketch`` (an item may repeat); ``sets_of(ids)`` returns (item, values) for a
-    DataFrame of items. ``roots`` has (node, root) for each item that isn't the
+    DataFrame of items, and is asked ``once`` for all items that share a bucket where
+    making sets costs more than keeping them. ``roots`` has (node, root) for each item that isn't the
     smallest of its component, ``links`` the links that were confirmed.
 
     No bucket's items all meet each other. In each round a bucket has one pivot,
@@ -141,6 +144,10 @@ def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Wo
     known_sets = work.store(items.join(buckets.select("item").distinct(), "item", "left_semi").select("item", "sketch").dropDuplicates(["item"]), "sketches")
     none = items.sparkSession.createDataFrame([], "node long, root long")
     roots, links, tried = none, None, None
+    kept = work.store(sets_of(known_sets.select("item")), "sets") if once else None
+
+    def sets_for(ids: DataFrame) -> DataFrame:
+        return sets_of(ids) if kept is None else kept.join(ids.distinct(), "item", "left_semi")
 
     def checked(pairs: DataFrame, name: str) -> DataFrame:
         """Links among pairs not tried before, each confirmed on full sets."""
@@ -150,7 +157,7 @@ def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Wo
         tried = fresh if tried is None else tried.union(fresh)
         close = work.store(_alike(fresh, known_sets, percent), f"{name}-alike")
         ids = close.select(F.col("a").alias("item")).union(close.select(F.col("b").alias("item"))).distinct()
-        found = work.store(linked(confirmed(close, sets_of(ids)), percent), f"{name}-links")
+        found = work.store(linked(confirmed(close, sets_for(ids)), percent), f"{name}-links")
         links = found if links is None else links.union(found)
         return found
 
@@ -168,7 +175,7 @@ def groups(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Wo
             break
         if turn == ROUNDS:
             members = opened.select("item", "root").distinct()
-            found = checked(_rare_first(members, sets_of(members.select("item")), percent), "rare")
+            found = checked(_rare_first(members, sets_for(members.select("item")), percent), "rare")
             roots = roots if found.isEmpty() else joined(found, "roots")
             break
         pairs = opened.where("root <> top").selectExpr("least(item, pivot) AS a", "greatest(item, pivot) AS b").distinct()

@@ -238,7 +238,7 @@ def repeated_paragraphs(docs: DataFrame, work: Workspace) -> DataFrame:
         found = _paragraph_texts(docs).join(ids, "item")
         return _text_sets(found.groupBy("item").agg(F.min("text").alias("text")))
 
-    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, work)
+    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, work, once=True)
     placed = signed.select("doc_id", "line", "lines", "item", _order().alias("place"))
     rooted = placed.join(roots.selectExpr("node AS item", "root"), "item", "left").withColumn("root", F.coalesce("root", "item"))
     rooted = work.store(rooted.drop("item"), "rooted")
