@@ -123,6 +123,23 @@ def test_removed_substrings(spark, work, monkeypatch, together):
     assert {r[0]: tuple(r)[1:] for r in found} == brute.removed(rows)
 
 
+def test_common_grams_emit_no_unique_strings(spark, work, monkeypatch):
+    """A gram in very many contexts, most of them without an equal string, sends only what may be equal to other parts."""
+    monkeypatch.setattr(substrings, "TOGETHER", 4)
+    draw = random.Random(6)
+    text = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    common, whole = text(60), text(140)
+    rows = [(i, text(draw.randrange(90, 130)) + common + text(draw.randrange(90, 130)) + whole * (i % 10 == 0)) for i in range(60)]
+    rows += [(60 + i, rows[i][1][-190:] + rows[i + 1][1][:95]) for i in range(5)]
+    found = substrings.removed_substrings(spark.createDataFrame(rows, "doc_id long, text string"), work).collect()
+    want = brute.removed(rows)
+    assert {r[0]: tuple(r)[1:] for r in found} == want
+    assert sum(x[1] > 0 for x in want.values()) >= 9
+    made = spark.read.parquet(f"{work.path}/found")
+    assert made.where("string IS NOT NULL").count() <= sum(x[1] for x in want.values()) // 4
+    assert made.where("string IS NULL").count() > 0
+
+
 def test_bpe_matches_the_library(spark, small_tables):
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     with open(path, "rb") as lines:

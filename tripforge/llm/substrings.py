@@ -8,6 +8,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ GRAM = 24
 BLOCK_BYTES = 1 << 20
 #: Occurrences of a gram that one block compares; those of a commoner gram are dealt over several parts.
 TOGETHER = BLOCK_BYTES // (LENGTH + GRAM)
+#: Neighbouring starts that a very common gram's contexts are cut into; all their strings share their other bytes.
+NARROW = 8
 
 _PLACE_BITS = U64(24)
 _NO_ID = -(1 << 63)
@@ -148,7 +151,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], least: Callable[[pa.Table],
         yield pa.Table.from_batches(held)
 
 
-_JUDGED = "gram long, part int, parts int, id long, packed long, repeated boolean"
+_JUDGED = "gram long, parts int, id long, packed long, repeated boolean"
 
 
 def _judged(rows: DataFrame) -> DataFrame:
@@ -175,17 +178,32 @@ def _judged(rows: DataFrame) -> DataFrame:
             number = np.cumsum(~group) - 1
             classes = np.bincount(number, weights=~same)[number]
             chosen = repeated | (~same & ((classes > 1) | (c["parts"] > 1)))
-            own = [pa.array(c[name][chosen]) for name in ("gram", "part", "parts", "id", "packed")]
+            own = [pa.array(c[name][chosen]) for name in ("gram", "parts", "id", "packed")]
             yield pa.RecordBatch.from_arrays([*own, pa.array(repeated[chosen])], [x.split()[0] for x in _JUDGED.split(", ")])
 
     return rows.mapInArrow(run, _JUDGED)
 
 
-_CONTEXT = "gram long, part int, parts int, id long, packed long, context binary"
+_CONTEXT = "gram long, parts int, id long, packed long, context binary"
+
+
+def _narrowed(first: np.ndarray, starts: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Contexts cut where the distance to the anchor is a multiple of ``NARROW``: (row, first, starts, before, distance // NARROW)."""
+    low, high = (before - starts + 1) // NARROW, before // NARROW
+    counts = high - low + 1
+    row = np.repeat(np.arange(len(first)), counts)
+    block = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    far = np.minimum(before[row], block * NARROW + NARROW - 1)
+    near = np.maximum((before - starts + 1)[row], block * NARROW)
+    return row, (first + before)[row] - far, far - near + 1, far, block
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """The bytes that the strings of each anchor cover, from a document's list of anchors and its text."""
+    """The bytes that the strings of each anchor cover, from a document's list of anchors and its text.
+
+    Those of a gram of several parts are cut into narrow ones, whose ``gram`` is
+    a hash of the bytes that all strings of a block of distances would share.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -193,18 +211,33 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
             lists = batch["anchors"]
             flat = lists.flatten()
             counts = np.diff(np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1])
-            fields = [flat.field(name) for name in ("gram", "part", "parts")]
-            packed = flat.field("packed").to_numpy()
-            first, starts, _ = _unpacked(packed)
-            ends = first + starts - 1 + length
+            gram, parts = (flat.field(name).to_numpy() for name in ("gram", "parts"))
+            first, starts, before = _unpacked(flat.field("packed").to_numpy())
+            common, row = np.flatnonzero(parts > 1), np.arange(len(gram))
+            block = np.full(len(gram), -1)
+            if len(common):
+                single = np.flatnonzero(parts <= 1)
+                own, *cut, number = _narrowed(first[common], starts[common], before[common])
+                row, block = np.concatenate((single, common[own])), np.concatenate((block[single], number))
+                first, starts, before = (np.concatenate((x[single], y)) for x, y in zip((first, starts, before), cut, strict=True))
+                order = np.argsort(row, kind="stable")
+                row, block, first, starts, before = (x[order] for x in (row, block, first, starts, before))
+            gram, parts, ends = gram[row], parts[row], first + starts - 1 + length
+            doc = np.repeat(np.arange(len(lists)), counts)[row]
             spans = zip(first.tolist(), ends.tolist(), strict=True)
-            bodies = []
-            for body, count in zip(batch["body"], counts.tolist(), strict=True):
+            bodies, texts = [], []
+            for body, count in zip(batch["body"], np.bincount(doc, minlength=len(lists)).tolist(), strict=True):
                 text = unpack(body.as_py())
+                texts.append(text)
                 bodies += [text[a:b] for a, b in islice(spans, count)]
-            which = batch["id"].take(pa.array(np.repeat(np.arange(len(lists)), counts)))
+            for i in np.flatnonzero(block >= 0).tolist():
+                begin = int(first[i] + before[i] - block[i] * NARROW)
+                shared = texts[doc[i]][begin : begin + length - NARROW + 1]
+                gram[i] = np.uint64(xxhash.xxh3_64_intdigest(shared, seed=int(block[i]))).astype(np.int64)
+            which = batch["id"].take(pa.array(doc))
+            packed = _packed(first, first + starts - 1, first + before)
             made = pa.RecordBatch.from_arrays(
-                [*fields, which, pa.array(packed), pa.array(bodies, pa.binary())], [x.split()[0] for x in _CONTEXT.split(", ")]
+                [pa.array(gram), pa.array(parts), which, pa.array(packed), pa.array(bodies, pa.binary())], [x.split()[0] for x in _CONTEXT.split(", ")]
             )
             # An id that repeats with another text gives contexts that are cut short.
             yield made.filter(pa.array(np.array([len(x) for x in bodies], np.int64) == ends - first))
@@ -212,6 +245,15 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, _CONTEXT)
 
 
+def _dealt(contexts: DataFrame) -> DataFrame:
+    """Contexts with the ``part`` of their gram that compares them. Narrow ones that share their gram with no other are unique."""
+    common = contexts.where("parts > 1").drop("parts")
+    counted = common.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    common = common.join(counted.select("gram", F.expr(f"CAST(ceil(n / {TOGETHER}) AS INT) AS parts")), "gram")
+    every = contexts.where("parts = 1").unionByName(common)
+    return every.withColumn("part", F.expr("CAST(pmod(xxhash64(id, packed), parts) AS INT)")).repartition("gram", "part")
+
+
 _FOUND = "id long, first long, last long, gram long, string long"
 
 
@@ -278,19 +320,22 @@ def repeated_starts(docs: DataFrame, work: Workspace, length: int = LENGTH) -> D
     whose anchors' grams occur once in the corpus are unique, and most of the
     text leaves here. Anchors of one gram whose contexts are equal throughout
     need only their order. For what is left, the bytes of the contexts meet by
-    gram, and suffix arrays over blocks of them find the equal strings. The
-    occurrences of a very common gram are dealt over several parts; the earliest
-    string of each part then meets those of the other parts by digest.
+    gram, and suffix arrays over blocks of them find the equal strings. Contexts
+    of a very common gram are first cut into a few starts each, which meet by
+    the bytes that these have in common instead. Where even those bytes are very
+    common, their occurrences are dealt over several parts; the earliest string
+    of each part then meets those of the other parts by digest.
     """
     counted = _all_anchors(docs, length, grams_only=True).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     counted = work.store(counted.select("gram", F.expr(f"CAST(ceil(n / {TOGETHER}) AS INT) AS parts")), "grams")
     shared = _all_anchors(docs, length, grams_only=False).join(counted, "gram")
     shared = shared.withColumn("part", F.expr("CAST(pmod(xxhash64(id, packed), parts) AS INT)")).repartition("gram", "part")
     judged = work.store(_judged(shared.sortWithinPartitions("gram", "part")), "judged")
-    per_doc = judged.where("NOT repeated").groupBy("id").agg(F.collect_list(F.struct("gram", "part", "parts", "packed")).alias("anchors"))
+    per_doc = judged.where("NOT repeated").groupBy("id").agg(F.collect_list(F.struct("gram", "parts", "packed")).alias("anchors"))
     texts = per_doc.join(_compressed(docs), "id").select("id", "anchors", "body")
-    dealt = _contexts(texts, length).repartition("gram", "part").sortWithinPartitions("gram", "part")
+    dealt = _dealt(work.store(_contexts(texts, length), "contexts")).sortWithinPartitions("gram", "part")
     found = work.store(_compared(dealt, length), "found")
+    work.drop("contexts")
     place = (F.col("id").cast("decimal(20,0)") * F.lit(1 << 48).cast("decimal(17,0)") + F.col("first")).cast("decimal(38,0)")
     open_ = found.where("string IS NOT NULL").select("id", "first", "gram", "string", place.alias("place"))
     least = open_.groupBy("gram", "string").agg(F.min("place").alias("least"))
