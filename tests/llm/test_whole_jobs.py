@@ -1,10 +1,11 @@
 """Queries that must do the whole job, not a smaller one."""
 
+import os
 import random
 
 import numpy as np
 
-from tripforge.llm import paragraphs, secrets
+from tripforge.llm import paragraphs, secrets, winnow
 from tripforge.llm.flat import U64, mixed
 from tripforge.llm.queries import QUERIES
 
@@ -61,6 +62,25 @@ def test_joined_short_lines_are_near_copies_of_a_long_one(spark, work):
     assert found[1].n_removed == 0 and found[2].removed_lines == list(range(2, 9))
 
 
+def test_paragraph_tables_do_not_pile_up(spark, work):
+    """Texts are sent for paragraphs that share a bucket, windows are kept that repeat, and the grouping's tables go."""
+    draw = random.Random(5)
+    text = lambda n: " ".join(f"w{draw.randrange(5000)}" for _ in range(n))
+    same = text(60)
+    rows = [(i, text(80) + "\n" + (same if i % 10 == 0 else text(60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in paragraphs.removal_counts(docs, work).collect()}
+    assert {k for k, r in found.items() if r.n_removed} == {10, 20, 30}
+    assert all(found[k].removed_lines == [1] for k in (10, 20, 30))
+    folder = work.path.removeprefix("file:")
+    assert not [x for x in os.listdir(folder) if x in ("grouping", "paragraphs", "sketches", "sets", "windows")]
+    shared = spark.read.parquet(f"{work.path}/shared-windows")
+    assert shared.select("doc_id").distinct().count() == 4
+    ids = spark.createDataFrame([(x.item,) for x in paragraphs.signed_paragraphs(docs).where("doc_id = 3").collect()], "print long")
+    texts = {r.text.strip() for r in paragraphs._paragraph_texts(docs, winnow.screen(ids)).collect()}
+    assert texts == set(rows[3][1].split("\n"))
+
+
 def test_windows_of_shared_words_are_shared():
     draw = np.random.default_rng(2)
     for size in (50, 60, 90):

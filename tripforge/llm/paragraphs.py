@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripforge.llm.bands import MISS, PERCENT, band_keys, bands_needed, groups, sketches
 from tripforge.llm.flat import _PLACES, U64, Slice, lower_case, mixed, prefix_sums, ragged, shingles, slices, span_hashes, words
+from tripforge.llm.winnow import Screen, screen
 from tripforge.session import Workspace
 
 #: Paragraphs have at least this many words; windows have just so many.
@@ -188,16 +189,18 @@ def signed_paragraphs(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _paragraph_texts(docs: DataFrame) -> DataFrame:
-    """(item, text) of each paragraph."""
+def _paragraph_texts(docs: DataFrame, known: Screen) -> DataFrame:
+    """(item, text) of each paragraph whose item the screen lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, lines, _, _, _, values, bounds in _sets(batch):
                 long = _long(lines)
+                items = _items(*_chosen(values, bounds, long))
+                held = known.holds(items.view(U64))
                 body = lines.data.tobytes()
-                texts = [body[lines.starts[i] : lines.starts[i + 1]].decode() for i in long]
-                yield pa.RecordBatch.from_arrays([pa.array(_items(*_chosen(values, bounds, long)), pa.int64()), pa.array(texts, pa.string())], ["item", "text"])
+                texts = [body[lines.starts[i] : lines.starts[i + 1]].decode() for i in long[held]]
+                yield pa.RecordBatch.from_arrays([pa.array(items[held], pa.int64()), pa.array(texts, pa.string())], ["item", "text"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "item long, text string")
 
@@ -232,16 +235,19 @@ def repeated_paragraphs(docs: DataFrame, work: Workspace) -> DataFrame:
     paragraphs; of repeated rows of one id, equal lines count as one place, so a
     document never removes its own first copy.
     """
-    signed = work.store(signed_paragraphs(docs), "paragraphs")
+    grouping = work.inner("grouping")
+    signed = grouping.store(signed_paragraphs(docs), "paragraphs")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        found = _paragraph_texts(docs).join(ids, "item")
+        # Most paragraphs share no bucket; the screen keeps their texts out of the shuffle.
+        found = _paragraph_texts(docs, screen(ids.select(F.col("item").alias("print")))).join(ids, "item")
         return _text_sets(found.groupBy("item").agg(F.min("text").alias("text")))
 
-    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, work, once=True)
+    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, grouping, once=True)
     placed = signed.select("doc_id", "line", "lines", "item", _order().alias("place"))
     rooted = placed.join(roots.selectExpr("node AS item", "root"), "item", "left").withColumn("root", F.coalesce("root", "item"))
     rooted = work.store(rooted.drop("item"), "rooted")
+    work.drop("grouping")
     first = rooted.groupBy("root").agg(F.min("place").alias("first"))
     return rooted.join(first, "root").select("doc_id", "line", "lines", "root", F.expr("place > first").alias("removed"))
 
@@ -260,7 +266,10 @@ def repeated_passages(docs: DataFrame, work: Workspace, marked: DataFrame | None
     a removed line is never the first of its kind, so what goes as a passage still
     stands in a line that stays.
     """
-    made = work.store(windows(docs).withColumn("place", _order("start")), "windows")
+    every = work.store(windows(docs), "windows")
+    often = every.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
+    made = work.store(every.join(often.select("window"), "window"), "shared-windows").withColumn("place", _order("start"))
+    work.drop("windows")
     staying = made
     if marked is not None:
         gone = marked.where("removed").select(F.col("doc_id").alias("_id"), F.explode(F.expr("sequence(line, line + lines - 1)")).alias("_line")).distinct()

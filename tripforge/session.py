@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import copy
 import functools
 import tempfile
 import uuid
@@ -117,6 +118,12 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def inner(self, name: str) -> Workspace:
+        """A workspace inside this one, which ``drop`` deletes by its name."""
+        made = copy.copy(self)
+        made.path = f"{self.path}/{name}"
+        return made
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._delete(f"{self.path}/{name}")
