@@ -92,6 +92,22 @@ def secret_spans(text, bars, allowed, window=20):
     return found
 
 
+def sections(text, pieces):
+    """(start, end, tokens, crossing tokens) of each line, a break belonging to the line it ends."""
+    char_of = [i for i, c in enumerate(text) for _ in c.encode()]
+    starts = [0] + [i + 1 for i, c in enumerate(text) if c == "\n"]
+    ends = [*starts[1:], len(text)]
+    counts, at = [[0, 0] for _ in starts], 0
+    for piece in pieces:
+        first, last = char_of[at], char_of[at + len(piece) - 1] + 1
+        at += len(piece)
+        held = [max(0, min(b, last) - max(a, first)) for a, b in zip(starts, ends, strict=True)]
+        own = held.index(max(held))
+        counts[own][0] += 1
+        counts[own][1] += sum(x > 0 for x in held) > 1
+    return [(a, b, *n) for a, b, n in zip(starts, ends, counts, strict=True)]
+
+
 def runs(places):
     out = []
     for i in sorted(places):
