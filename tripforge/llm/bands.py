@@ -139,6 +139,8 @@ def groups(
     still open are compared where a filter by rare values can't rule them out.
     """
     entries = items.select("item", F.explode("bands").alias("band"))
+    if once:  # many items: the buckets' bounds and the join with them read one shuffle
+        entries = entries.repartition("band")
     shared = entries.groupBy("band").agg(F.min("item").alias("_low"), F.max("item").alias("_high")).where("_low < _high")
     buckets = work.store(entries.join(shared.select("band"), "band").distinct(), "buckets")
     known_sets = work.store(items.join(buckets.select("item").distinct(), "item", "left_semi").select("item", "sketch").dropDuplicates(["item"]), "sketches")
