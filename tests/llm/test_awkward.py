@@ -83,6 +83,30 @@ def test_long_chunks_are_not_remembered(vocabulary):
     assert all(len(chunk) <= bpe.LONGEST for chunk in vocabulary.chunks)
 
 
+def test_pre_tokens_are_merged_once(vocabulary, monkeypatch):
+    """Also in another chunk of a later slice, or after the chunks were forgotten; what is remembered is no list."""
+    split, merged = regex.compile(vocabulary.pattern), []
+    merge = bpe.Vocabulary.merge
+    monkeypatch.setattr(bpe.Vocabulary, "merge", lambda self, pieces: merged.append(pieces) or merge(self, pieces))
+    vocabulary.chunks.clear()
+    alone = bpe.encode(["qzxjvw"], vocabulary, split)[0]
+    assert bpe.encode(["qzxjvw,"], vocabulary, split)[0][: len(alone)] == alone
+    vocabulary.chunks.clear()
+    assert bpe.encode(["qzxjvw"], vocabulary, split)[0] == alone
+    assert [piece for pieces in merged for piece in pieces] == [b"qzxjvw"]
+    assert all(type(ids) is bytes for ids in vocabulary.chunks.values())
+
+
+def test_merges_laid_out_together_or_apart(vocabulary, monkeypatch):
+    """Pre-tokens of all lengths, whether their lists are laid out in one go or in many."""
+    pieces = [("qzxjvw" * n)[: 5 * n + 1].encode() for n in (1, 40, 2, 9_000, 3, 1, 200)] + ["éüñ".encode() * 30]
+    whole = list(vocabulary.merge(pieces))
+    assert [b"".join(vocabulary.tokens[x] for x in ids) for ids in whole] == pieces
+    monkeypatch.setattr(bpe, "MERGED_TOGETHER", 64)
+    assert list(vocabulary.merge(pieces)) == whole == [next(vocabulary.merge([piece])) for piece in pieces]
+    assert list(vocabulary.merge([])) == []
+
+
 def test_mixing_covers_null_sources_and_repeated_rows(awkward, nothing, spark):
     copies = mixing.mixed_copies(awkward, epochs=3.0).collect()
     per_row = {}
