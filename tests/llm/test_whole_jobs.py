@@ -8,6 +8,7 @@ import numpy as np
 from tripforge.llm import paragraphs, secrets, winnow
 from tripforge.llm.flat import U64, mixed
 from tripforge.llm.queries import QUERIES
+from tripforge.session import Workspace
 
 
 def test_mixing_moves_whole_documents(spark, small_tables):
@@ -102,3 +103,18 @@ def test_entropy_beside_a_base_span_is_kept(spark):
     found = {r.doc_id: r for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found[1].spans == f"access:0:20,entropy:20:{20 + len(beside)}"
     assert found[2].spans == "assign:3:33"
+
+
+def test_signatures_go_before_paragraphs_are_compared(spark, work, monkeypatch):
+    """They are the largest table of the grouping, and nothing after the buckets reads them; band keys are short."""
+    steps, store, drop = [], Workspace.store, Workspace.drop
+    monkeypatch.setattr(Workspace, "store", lambda self, df, name: steps.append(name) or store(self, df, name))
+    monkeypatch.setattr(Workspace, "drop", lambda self, *names: steps.extend(f"drop {x}" for x in names) or drop(self, *names))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:59], "other"])), (3, " ".join(reversed(words)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.removed for r in paragraphs.repeated_paragraphs(docs, work).collect()}
+    assert found == {1: False, 2: True, 3: False}
+    assert steps.index("sketches") < steps.index("drop paragraphs") < steps.index("open-0")
+    keys = [key for r in paragraphs.signed_paragraphs(docs).collect() for key in r.bands]
+    assert keys and all(0 <= key < 1 << paragraphs.KEY_BITS <= 1 << 40 for key in keys)

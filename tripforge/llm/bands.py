@@ -122,14 +122,20 @@ ROUNDS = 2
 
 
 def groups(
-    items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], work: Workspace, percent: int = PERCENT, once: bool = False
+    items: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    work: Workspace,
+    percent: int = PERCENT,
+    once: bool = False,
+    spent: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Components of items linked by exact similarity: ``(roots, links)``.
 
     ``items`` has a long ``item``, its set's ``size``, its ``bands`` and its
     ``sketch`` (an item may repeat); ``sets_of(ids)`` returns (item, values) for a
     DataFrame of items, and is asked ``once`` for all items that share a bucket where
-    making sets costs more than keeping them. ``roots`` has (node, root) for each item that isn't the
+    making sets costs more than keeping them. Tables of ``work`` that are ``spent``, those under ``items``, are dropped
+    once buckets and sketches are stored. ``roots`` has (node, root) for each item that isn't the
     smallest of its component, ``links`` the links that were confirmed.
 
     No bucket's items all meet each other. In each round a bucket has one pivot,
@@ -144,6 +150,7 @@ def groups(
     shared = entries.groupBy("band").agg(F.min("item").alias("_low"), F.max("item").alias("_high")).where("_low < _high")
     buckets = work.store(entries.join(shared.select("band"), "band").distinct(), "buckets")
     known_sets = work.store(items.join(buckets.select("item").distinct(), "item", "left_semi").select("item", "sketch").dropDuplicates(["item"]), "sketches")
+    work.drop(*spent)
     none = items.sparkSession.createDataFrame([], "node long, root long")
     roots, links, tried = none, None, None
     kept = work.store(sets_of(known_sets.select("item")), "sets") if once else None

@@ -21,6 +21,8 @@ MIN_WORDS = 25
 PLACES = 26
 #: The place is taken by the hash of so many words.
 GRAM = 3
+#: Bits of a band key. Short keys take less disk; two that meet by chance cost a comparison, as links are confirmed on full sets.
+KEY_BITS = 40
 
 _NEWLINE = 10
 
@@ -171,7 +173,7 @@ def signed_paragraphs(docs: DataFrame) -> DataFrame:
                     continue
                 own, ends = _chosen(values, bounds, long)
                 registers = minhash(own, ends, bands * rows)
-                keys = band_keys(registers, rows)
+                keys = band_keys(registers, rows) & ((1 << KEY_BITS) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(row[long])),
@@ -237,14 +239,16 @@ def repeated_paragraphs(docs: DataFrame, work: Workspace) -> DataFrame:
     """
     grouping = work.inner("grouping")
     signed = grouping.store(signed_paragraphs(docs), "paragraphs")
+    # Signatures are much larger than places, and go as soon as the buckets are known.
+    places = grouping.store(signed.select("doc_id", "line", "lines", "item"), "places")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         # Most paragraphs share no bucket; the screen keeps their texts out of the shuffle.
         found = _paragraph_texts(docs, screen(ids.select(F.col("item").alias("print")))).join(ids, "item")
         return _text_sets(found.groupBy("item").agg(F.min("text").alias("text")))
 
-    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, grouping, once=True)
-    placed = signed.select("doc_id", "line", "lines", "item", _order().alias("place"))
+    roots, _ = groups(signed.select("item", "size", "bands", "sketch"), sets_of, grouping, once=True, spent=("paragraphs",))
+    placed = places.select("doc_id", "line", "lines", "item", _order().alias("place"))
     rooted = placed.join(roots.selectExpr("node AS item", "root"), "item", "left").withColumn("root", F.coalesce("root", "item"))
     rooted = work.store(rooted.drop("item"), "rooted")
     work.drop("grouping")
