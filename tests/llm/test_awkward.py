@@ -1,7 +1,9 @@
 """Every operator and stage on awkward rows and on an empty table."""
 
 import corpus_brute as brute
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 
@@ -76,6 +78,16 @@ def test_sections_of_awkward_texts(spark, nothing, vocabulary):
     assert counting.section_tokens(nothing, vocabulary).collect() == []
 
 
+def test_sections_count_packed_ids(vocabulary, monkeypatch):
+    """No list of ids is made per text."""
+    monkeypatch.setattr(counting, "encode", None, raising=False)
+    split, texts = regex.compile(vocabulary.pattern), ["a wordy line\nb", "", "é\n"]
+    sizes = np.array([len(x) for x in vocabulary.tokens])
+    rows = counting._sections(pa.array([1, 2, 3]), texts, vocabulary, split, sizes).to_pylist()
+    counts = {i: sum(r["n_tokens"] for r in rows if r["doc_id"] == i) for i in (1, 2, 3)}
+    assert list(counts.values()) == [len(ids) for ids in bpe.encode(texts, vocabulary, split)] and counts[2] == 0
+
+
 def test_long_chunks_are_not_remembered(vocabulary):
     split = regex.compile(vocabulary.pattern)
     texts = ["z" * 5_000, "short words", "z" * 5_000]

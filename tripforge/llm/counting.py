@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tripforge.llm.bpe import Vocabulary, encode, split_texts
+from tripforge.llm.bpe import Vocabulary, packed, split_texts
 
 SECTIONS = "doc_id long, section long, start_char long, end_char long, n_tokens long, n_crossing long"
 
@@ -61,7 +60,7 @@ def _sections(ids: pa.Array, texts: list[str], words: Vocabulary, split: regex.P
 
     A token that holds part of a character's bytes spans that whole character.
     """
-    tokens = np.fromiter(chain.from_iterable(encode(texts, words, split)), np.int64)
+    tokens = np.frombuffer(b"".join(packed(texts, words, split)), np.int32).astype(np.int64)
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     char_of = np.cumsum((data & 0xC0) != 0x80) - 1
     total = int(char_of[-1]) + 1 if len(data) else 0
