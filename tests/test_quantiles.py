@@ -103,3 +103,32 @@ def test_no_task_gathers_a_group(spark, monkeypatch):
     assert len(seen) >= 2
     for df in seen:
         assert "Exchange hashpartitioning" not in plan_text(df) and "BroadcastHashJoin" in plan_text(df)
+
+
+@pytest.mark.parametrize("share", [500_000, 100])
+def test_brackets_of_many_groups_do_not_pass_the_driver(spark, monkeypatch, share):
+    """Beyond a few thousand groups no bracket is broadcast, and only large groups' brackets are copied for several tasks."""
+    monkeypatch.setattr(Q, "ROWS_PER_SALT", share, raising=False)
+    draw = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": np.concatenate([np.repeat(np.arange(12_000), 3), np.full(900, -1)])})
+    pdf["x"] = np.round(draw.normal(0, 50, len(pdf)), 3)
+    pdf.loc[pdf["g"] == 7, "x"] = 2.5
+    df = spark.createDataFrame(pdf).withColumn("g", F.expr("nullif(g, 5)")).repartition(4)
+    seen, first = [], Q._Search.inside
+    monkeypatch.setattr(Q._Search, "inside", lambda self, b, n: seen.append((n, b, first(self, b, n))) or seen[-1][2])
+    found = Q.quantiles(df, ["x"], [0.25, 0.5], by=["g"], max_values=1, cells=4).collect()
+    mine = pdf.groupby("g")["x"].quantile([0.25, 0.5]).unstack()
+    assert len(found) == 12_001
+    for row in found:
+        assert row["quantiles"] == pytest.approx(list(mine.loc[5 if row["g"] is None else row["g"]]), rel=1e-12)
+    many = [(b, rows) for n, b, rows in seen if n > 10_000]
+    assert many
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [plan_text(rows) for _, rows in many]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for (brackets, _), plan in zip(many, plans, strict=True):
+        assert plan.count("BroadcastHashJoin") <= 1 and "SortMergeJoin" in plan  # the one is the list of large groups
+        copies = brackets.agg(F.sum("salts"), F.max("salts")).first()
+        assert copies[0] - brackets.count() < 100 and copies[1] == (9 if share == 100 else 1)

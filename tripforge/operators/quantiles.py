@@ -27,8 +27,8 @@ MAX_VALUES = 200_000  # distinct values that one task may hold
 CELLS = 2_048  # parts of a bracket that are counted apart
 LEAST_CELLS = 16
 CELLS_IN_ALL = 1 << 22  # cells counted in one level; with many brackets each has fewer
-BROADCAST_BRACKETS = 100_000  # small rows that every executor may hold; beyond, rows and brackets shuffle
-SALTS = 32  # tasks over which the rows of a group are dealt there
+BROADCAST_BRACKETS = 10_000  # rows of one table that the driver collects, several at a time; beyond, rows and brackets shuffle
+ROWS_PER_SALT = 500_000  # rows of a group that are dealt to one task there
 
 _INFINITY = sql.double(math.inf)
 
@@ -95,7 +95,7 @@ def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 @dataclass(frozen=True)
 class _Search:
-    """Closing in on ranks in the rows of ``df``. Brackets have by, column, low, high, before, inside and ranks."""
+    """Closing in on ranks in the rows of ``df``. Brackets have by, column, low, high, before, inside, ranks and salts."""
 
     df: DataFrame
     columns: list[str]
@@ -109,13 +109,19 @@ class _Search:
         return [*self.by, "column"]
 
     def inside(self, brackets: DataFrame, count: int) -> DataFrame:
-        """Values that lie in a bracket, with the bracket's ``low``, ``high``."""
+        """Values that lie in a bracket, with the bracket's ``low``, ``high``.
+
+        Where rows shuffle, those of a large group are dealt to as many tasks as it has salts, each with a copy of its
+        brackets. Large groups are few, as each has over ``ROWS_PER_SALT`` rows.
+        """
         rows, sides = _tall(self.df, self.columns, self.by), brackets.select(*self.keys, "low", "high")
         within = F.col("value").between(F.col("low"), F.col("high"))
         if count <= BROADCAST_BRACKETS:
             return _joined(rows, F.broadcast(sides), self.keys, condition=within)
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
-        spread = sides.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        large = brackets.filter("salts > 1").select(*self.keys, "salts").distinct()
+        dealt = F.pmod(F.xxhash64("value"), F.coalesce(F.col("salts"), F.lit(1))).cast("int")
+        salted = _joined(rows, F.broadcast(large), self.keys, "left").withColumn("_salt", dealt).drop("salts")
+        spread = brackets.select(*self.keys, "low", "high", F.explode(F.expr("sequence(0, salts - 1)")).alias("_salt"))
         return _joined(salted, spread, [*self.keys, "_salt"], condition=within).drop("_salt")
 
     def narrowed(self, brackets: DataFrame, count: int) -> DataFrame:
@@ -129,15 +135,14 @@ class _Search:
             .groupBy(*self.keys, "low", cell.alias("cell"))
             .agg(F.count(F.lit(1)).alias("inside"), F.min("value").alias("least"), F.max("value").alias("most"))
         )
-        known = brackets.select(*self.keys, "low", "before", "ranks")
+        known = brackets.select(*self.keys, "low", "before", "ranks", "salts")
         upto = Window.partitionBy(*self.keys, "low").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
         placed = _joined(
             counted.withColumn("_earlier", F.coalesce(F.sum("inside").over(upto), F.lit(0))), known, [*self.keys, "low"]
         ).withColumn("before", F.col("before") + F.col("_earlier"))
         held = F.expr("filter(ranks, r -> r >= before AND r < before + inside)")
-        return placed.select(*self.keys, F.col("least").alias("low"), F.col("most").alias("high"), "before", "inside", held.alias("ranks")).filter(
-            F.size("ranks") > 0
-        )
+        ends = [F.col("least").alias("low"), F.col("most").alias("high")]
+        return placed.select(*self.keys, *ends, "before", "inside", held.alias("ranks"), "salts").filter(F.size("ranks") > 0)
 
     def ranked(self, brackets: DataFrame, count: int) -> DataFrame:
         """Values at the wanted ranks of brackets that one task can hold."""
@@ -159,7 +164,8 @@ class _Search:
             if counts[0]:
                 found.append(brackets.filter(one).select(*self.keys, F.explode("ranks").alias("rank"), F.col("low").alias("value")))
             if counts[1]:
-                found.append(self.ranked(brackets.filter(~one & small), counts[1]))
+                # Stored level by level: a plan of all levels would hold the tables of every join on the driver at once.
+                found.append(self.work.store(self.ranked(brackets.filter(~one & small), counts[1]), f"ranked-{level}"))
             if not counts[2]:
                 break
             brackets, level = self.narrowed(brackets.filter(~one & ~small), counts[2]), level + 1
@@ -182,6 +188,7 @@ def _by_rank(search: _Search, extents: DataFrame, probs: Sequence[float]) -> Dat
         F.col("_below").alias("before"),
         F.expr("_rows - _below - _above").alias("inside"),
         F.expr(f"filter(ranks, r -> {finite})").alias("ranks"),
+        F.expr(f"CAST(ceil(_rows / {ROWS_PER_SALT}) AS INT)").alias("salts"),
     ).filter(F.size("ranks") > 0)
     endless = wanted.select(*search.keys, "_below", F.explode(F.expr(f"filter(ranks, r -> NOT ({finite}))")).alias("rank")).select(
         *search.keys, "rank", F.expr(f"CASE WHEN rank < _below THEN -{_INFINITY} ELSE {_INFINITY} END").alias("value")
