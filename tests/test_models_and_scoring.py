@@ -248,3 +248,44 @@ def test_nan_weather_counts_as_missing(spark):
     checked = scoring.checked_requests(requests(spark, request(**dict.fromkeys(measures, float("nan")))))
     row = scoring.request_inputs(scoring.accepted(checked)).first()
     assert row["weather_data_available"] == 0 and [row[c] for c in measures] == [None] * 4
+
+
+def test_boosted_trees_of_a_bounded_table_are_one_chain(spark, monkeypatch, tmp_path):
+    """No job for every level of every tree; the engine's own model, as good as its own fit, whatever the partitions."""
+    draw = np.random.default_rng(4)
+    pdf = pd.DataFrame(draw.normal(size=(1_500, 3)), columns=["a", "b", "c"])
+    pdf["y"] = pdf["a"] + np.sin(3 * pdf["c"]) + draw.normal(0, 0.3, 1_500)
+    pdf["id"] = [str(i) for i in range(1_500)]
+    pdf.loc[:9, "id"] = None
+    df = spark.createDataFrame(pdf).repartition(5)
+    train, test = df.filter("abs(hash(y)) % 4 > 0"), df.filter("abs(hash(y)) % 4 = 0")
+    trees = models.boosted_trees("y", maxIter=30, maxDepth=4, stepSize=0.1, featureSubsetStrategy="all", minInstancesPerNode=3)
+    spark.sparkContext.setJobGroup("chain", "chain")
+    try:
+        run = models.run_model("x", trees, train, test, "y", features=["a", "b", "c"])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) < 60
+    fitted = run.model.stages[-1]
+    assert (fitted.getNumTrees, fitted.treeWeights[:2], fitted.getMaxDepth()) == (30, [1.0, 0.1], 4)
+    assert sum(fitted.featureImportances.toArray()) == pytest.approx(1.0)
+    assert all(tree.depth <= 4 for tree in fitted.trees)
+    models.save_run(run, str(tmp_path / "run"))
+    again = models.load_run(spark, str(tmp_path / "run"))
+    rows = lambda model: sorted(r["prediction"] for r in model.transform(test).collect())
+    assert rows(again.model) == rows(run.model)
+    other = models.run_model("x", trees, train.repartition(2), test, "y", features=["a", "b", "c"])
+    assert rows(other.model) == pytest.approx(rows(run.model))
+    # What the model predicts is what the chain predicts for its rows.
+    kept, edges = [], boosting.bin_edges(train, ["a", "b", "c"])
+    table = boosting.binned(train.withColumn("place", boosting.row_hash("id", 42)), ["a", "b", "c"], edges=edges).toPandas().sort_values(["place", "y"])
+    setting = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "1.0", "minInstancesPerNode": 3}
+    ours = boosting.ensemble(np.stack(table["bins"]), table["y"].to_numpy(), np.ones(len(table), bool), setting, np.random.default_rng(42), kept)
+    assert sorted(ours) == pytest.approx(sorted(r["prediction"] for r in run.model.transform(train).collect()))
+    assert sum(len(nodes["count"]) for nodes in kept) == fitted.totalNumNodes
+    monkeypatch.setattr(models, "CHAIN_ROWS", 0)
+    engine = models.run_model("x", trees, train, test, "y", features=["a", "b", "c"])
+    assert run.metrics.first()["RMSE"] == pytest.approx(engine.metrics.first()["RMSE"], rel=0.12)
+    with pytest.raises(Exception, match="(?i)missing|null"):
+        monkeypatch.setattr(models, "CHAIN_ROWS", 5_000)
+        models.run_model("x", trees, train.withColumn("y", F.expr("nullif(y, y)")), test, "y", features=["a", "b", "c"])
