@@ -259,6 +259,7 @@ def test_boosted_trees_of_a_bounded_table_are_one_chain(spark, monkeypatch, tmp_
     pdf.loc[:9, "id"] = None
     df = spark.createDataFrame(pdf).repartition(5)
     train, test = df.filter("abs(hash(y)) % 4 > 0"), df.filter("abs(hash(y)) % 4 = 0")
+    monkeypatch.setattr(models, "CHAIN_LEVELS", 100, raising=False)
     trees = models.boosted_trees("y", maxIter=30, maxDepth=4, stepSize=0.1, featureSubsetStrategy="all", minInstancesPerNode=3)
     spark.sparkContext.setJobGroup("chain", "chain")
     try:
